@@ -7,10 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import lookalikes
+from linkwright.llm import groups, lookalikes
 from linkwright.llm.tables import read
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    tied = groups.tied_entities(read(spark, folder, "train_matches"), "source1_entity_id", "matched_entity_ids")
+    members = tied.where((F.col("group_size") > 1) & (F.col("entity") != F.col("group_first")))
+    return members.select(F.col("group_first").alias("group_first_id"), F.col("entity").alias("source1_entity_id"))
+
+
+def p2_split(spark: SparkSession, folder: str) -> DataFrame:
+    tied = groups.tied_entities(read(spark, folder, "train_matches"), "source1_entity_id", "matched_entity_ids")
+    labelled = groups.split(tied, {"train": 0.8, "validation": 0.1, "test": 0.1})
+    return labelled.select(F.col("entity").alias("source1_entity_id"), F.col("group_first").alias("group_first_id"), "split")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     names = lookalikes.records_not_consistent(read(spark, folder, "train_source1"), "entity_id", "business_name")
     addresses = lookalikes.records_not_consistent(read(spark, folder, "train_source2"), "entity_id", "business_address")
@@ -25,7 +37,7 @@ def p5_folded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found, "p5_folded": p5_folded}
+    return {"p2_found": p2_found, "p2_split": p2_split, "p5_found": p5_found, "p5_folded": p5_folded}
 
 
 def oracle_sql() -> dict[str, str]:
