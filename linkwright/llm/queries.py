@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import groups, lookalikes
+from linkwright.llm import addresses, groups, lookalikes
 from linkwright.llm.tables import read
 
 
+def noisy_records(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["entity_id", "business_name", "business_address"]
+    return read(spark, folder, "train_source2").select(columns).unionByName(read(spark, folder, "train_source3").select(columns))
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return addresses.same_place_pairs(noisy_records(spark, folder), "entity_id", "business_address")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     tied = groups.tied_entities(read(spark, folder, "train_matches"), "source1_entity_id", "matched_entity_ids")
     members = tied.where((F.col("group_size") > 1) & (F.col("entity") != F.col("group_first")))
@@ -37,7 +46,7 @@ def p5_folded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p2_found": p2_found, "p2_split": p2_split, "p5_found": p5_found, "p5_folded": p5_folded}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_split": p2_split, "p5_found": p5_found, "p5_folded": p5_folded}
 
 
 def oracle_sql() -> dict[str, str]:
