@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import addresses, groups, lookalikes
+from linkwright.llm import addresses, groups, linkage, lookalikes, names
 from linkwright.llm.tables import read
 
 
@@ -32,21 +32,37 @@ def p2_split(spark: SparkSession, folder: str) -> DataFrame:
     return labelled.select(F.col("entity").alias("source1_entity_id"), F.col("group_first").alias("group_first_id"), "split")
 
 
+def p4_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Matches of the entities without a row in train_matches, with the confidence of each."""
+    labelled = read(spark, folder, "train_matches").select(F.regexp_replace("source1_entity_id", groups.BLANKS, "").alias("entity_id"))
+    open_entities = read(spark, folder, "train_source1").join(labelled, "entity_id", "left_anti")
+    found = linkage.linked(open_entities, noisy_records(spark, folder), "entity_id", "business_name", "business_address")
+    return found.select(F.col("left_id").alias("source1_entity_id"), F.col("right_id").alias("candidate_entity_id"), "confidence")
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p4_links(spark, folder).select("source1_entity_id", "candidate_entity_id")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    names = lookalikes.records_not_consistent(read(spark, folder, "train_source1"), "entity_id", "business_name")
-    addresses = lookalikes.records_not_consistent(read(spark, folder, "train_source2"), "entity_id", "business_address")
-    return names.unionByName(addresses).distinct()
+    by_name = lookalikes.records_not_consistent(read(spark, folder, "train_source1"), "entity_id", "business_name")
+    by_address = lookalikes.records_not_consistent(read(spark, folder, "train_source2"), "entity_id", "business_address")
+    return by_name.unionByName(by_address).distinct()
 
 
 def p5_folded(spark: SparkSession, folder: str) -> DataFrame:
     """Every record of both fields with its consistent form."""
-    names = read(spark, folder, "train_source1").select("entity_id", F.lit("business_name").alias("field"), F.col("business_name").alias("text"))
-    addresses = read(spark, folder, "train_source2").select("entity_id", F.lit("business_address").alias("field"), F.col("business_address").alias("text"))
-    return lookalikes.fold_columns(names.unionByName(addresses), ["text"]).select("entity_id", "field", "text_folded")
+    first = read(spark, folder, "train_source1").select("entity_id", F.lit("business_name").alias("field"), F.col("business_name").alias("text"))
+    second = read(spark, folder, "train_source2").select("entity_id", F.lit("business_address").alias("field"), F.col("business_address").alias("text"))
+    return lookalikes.fold_columns(first.unionByName(second), ["text"]).select("entity_id", "field", "text_folded")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.variant_pairs(noisy_records(spark, folder), "entity_id", "business_name")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_split": p2_split, "p5_found": p5_found, "p5_folded": p5_folded}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_split": p2_split, "p4_found": p4_found, "p4_links": p4_links, "p5_found": p5_found, "p5_folded": p5_folded, "p6_found": p6_found}
 
 
 def oracle_sql() -> dict[str, str]:

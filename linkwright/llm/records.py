@@ -45,27 +45,27 @@ LINKS = frozenset("and n et".split())
 FAMILY = frozenset("sons son fils bros brothers".split())
 #: Trades with their written forms; a form of several words is written with a hyphen.
 TRADES = """
-roofing roofers roof roofer | bakery bkry bakers baker baking | laundromat laundry laundries | flooring fine-flooring fine-floors fine-floor floors
+roofing roofers roof roofer rfg | bakery bkry bakers baker baking | laundromat laundry laundries | flooring fine-flooring fine-floors fine-floor floors
 auto-repair automotive-repair auto-rpr automotive auto-repairs automotive-rpr | plumbing plumbers plumber plbg | hardware hdwr hdwe hardwares
 insurance-agency ins-agcy ins-agency insurance insurance-agcy ins | dental-care dntl-care dental dntl | veterinary-clinic vet-clinic veterinary vet vet-clnc
-landscaping landscape landscapers landscapes | manufacturing mfg manufacturers mfrs | coffee cafe coffees coffee-shop | office-supply office-supplies off-supplies off-supply
+landscaping landscape landscapers landscapes lndscpg | manufacturing mfg manufacturers mfrs | coffee cafe coffees coffee-shop | office-supply office-supplies off-supplies off-supply
 kirana-stores kirana-str kirana kirana-store | tiffins tiffin-centre tiffin-center tiffin | textiles textile txtls txtl
 traders trading trdrs trader | enterprises enterprise entp ent | industries industry inds ind indus
 electricals electrical-works electrical elec | medicals medical med medical-hall | sweets sweet-mart mithai sweet sweetmart
 jewellers jwlrs jewelers jeweller jeweler jewellery | agencies agency agcs agcy
-boulangerie boulang boul | pharmacie pharm | epicerie epic | menuiserie menuis | creperie crep | hotel hot | librairie libr
-salon-de-coiffure coiffure salon | garage gar | tabac-presse tabac | restaurant resto rest | fleuriste fleur | garaje
+boulangerie boulang boul | pharmacie pharm phcie | epicerie epic | menuiserie menuis | creperie crep | hotel hot | librairie libr
+salon-de-coiffure coiffure coiff salon | garage gar | tabac-presse tabac | restaurant resto rest | fleuriste fleur | garaje
 """
 #: Names that are only a trade or a kind of shop.
-GENERIC = "general store stores shop shops mobile tea stall xerox centre center medical hall kirana auto repair cafe super market bakery hotel provision cyber beauty parlour parlor tailor tailors salon hair nail pizza deli grocery pharmacy hardware"
+GENERIC = "general store stores shop shops mobile tea stall xerox centre center medical hall kirana auto repair cafe super market bakery hotel provision cyber beauty parlour parlor tailor tailors salon hair nail pizza deli gas station grocery pharmacy hardware"
 #: Given names with the short forms people use.
 GIVEN = """
 elizabeth betty beth liz lizzie eliza bess | katherine katie kate kathy kat catherine | jonathan johnny john jon jonny
 robert bob bobby rob robbie | william bill billy will willie | richard dick rick ricky rich | margaret peggy maggie meg marge
 theodore ted teddy theo | alexandra alex sandra lexi lexie alexa | michael mike mick mickey | james jim jimmy jamie | joseph joe joey
-mohammed muhammad mohd md mohamed mohammad | lakshmi lakshmy laxmi luxmi | venkatesh venkat venky | subramaniam subramanyam subramanian mani subbu
-rajendra raju rajender raj | sunita suni sunitha | krishnan krishna krish | jean-baptiste jb | francois fanfan franck
-frederic fred fredo | elisabeth babeth lisbeth | thomas tom tommy | charles charlie chuck | edward ed eddie ned | anthony tony | patricia pat patty trish
+mohammed muhammad mohd md mohamed mohammad | lakshmi lakshmy laxmi luxmi lachu | venkatesh venkat venky | subramaniam subramanyam subramanian mani subbu
+rajendra raju rajender rajinder rajan raj | sunita suni sunitha suneeta | krishnan krishna krish krsna kittu | jean-baptiste jb | francois fanfan franck
+frederic fred fredo | elisabeth babeth lisbeth lise | thomas tom tommy | charles charlie chuck | edward ed eddie ned | anthony tony | patricia pat patty trish
 """
 PLACEHOLDERS = frozenset("none null nan na unknown test tbd various xxx not available not provided".split()) | {"n/a", "-", "--", "?", "."}
 #: Devanagari letters in Latin spelling; consonants carry an inherent a.
@@ -79,7 +79,7 @@ DEVANAGARI_VOWELS = dict(zip("अआइईउऊऋएऐओऔऑऍ", "a a i i
 DEVANAGARI_SIGNS = dict(zip("ािीुूृेैोौॉॅ", "a i i u u ri e ai o au o e".split()))
 DEVANAGARI_TRADES = {
     "किराना स्टोर्स": "kirana stores", "इंडस्ट्रीज": "industries", "एंटरप्राइजेज": "enterprises", "मेडिकल्स": "medicals",
-    "टेक्सटाइल्स": "textiles", "ट्रेडर्स": "traders", "ज्वेलर्स": "jewellers", "एजेंसीज": "agencies", "स्वीट्स": "sweets",
+    "टेक्सटाइल्स": "textiles", "ट्रेडर्स": "traders", "ज्वेलर्स": "jewellers", "ज्वैलर्स": "jewellers", "एजेंसीज": "agencies", "स्वीट्स": "sweets",
     "इलेक्ट्रिकल्स": "electricals", "टिफिन्स": "tiffins", "टिफिन सेंटर": "tiffin centre", "ऑफिस सप्लाइज": "office supplies",
     "ऑफिस सप्लाई": "office supply",
 }
@@ -202,11 +202,17 @@ _ADDRESS_FIXES = (
 _ADDRESS_TOKEN = re.compile(r"#\s*\d+|\d+(?:st|nd|rd|th)\b|\d+|[^\W\d_](?:[^\W\d_]|[-'](?=[^\W\d_]))*")
 
 
-@lru_cache(maxsize=200_000)
 def parse_address(text: str | None) -> Address | None:
     """The numbered place that an address names; None where it names none."""
-    flat = plain(text)
-    if not flat or not any(c.isdigit() for c in flat):
+    place = read_address(text)
+    return place if place is not None and place.door and place.street else None
+
+
+@lru_cache(maxsize=200_000)
+def read_address(text: str | None) -> Address | None:
+    """What an address says, with an empty door where it names no numbered place; None where it says nothing."""
+    flat = plain(text).strip()
+    if not any(c.isalnum() for c in flat) or flat in PLACEHOLDERS:
         return None
     for pattern, to in _ADDRESS_FIXES:
         flat = pattern.sub(to, flat)
@@ -243,12 +249,12 @@ def parse_address(text: str | None) -> Address | None:
     elif open_hashes:
         at = open_hashes[0]
     else:
-        return None
+        at = -1
     if open_hashes and at not in open_hashes and not unit and not indian:
         unit = tokens[open_hashes[0]].strip("# ")
     for i in (*left, *open_hashes):
         used[i] = True
-    door = tokens[at].strip("# ").lstrip("0") or "0"
+    door = (tokens[at].strip("# ").lstrip("0") or "0") if at >= 0 else ""
     for i, token in enumerate(tokens):
         if token in _SETS["door"] or token in _SETS["unit"]:
             used[i] = True
@@ -302,12 +308,10 @@ def parse_address(text: str | None) -> Address | None:
             state = word
         elif len(word) > 2:
             kept.append(word)
-    if not street:
+    if not street and at >= 0:
         # no written type: the word after the door number, else the first word left
         following = [i for i in range(at + 1, len(tokens)) if not used[i] and tokens[i][0].isalpha() and len(tokens[i]) > 2]
         name = tokens[following[0]] if following and following[0] == at + 1 else (kept[0] if len(kept) > 1 else "")
-        if not name:
-            return None
         street = name
         if name in kept:
             kept.remove(name)
@@ -317,6 +321,12 @@ def parse_address(text: str | None) -> Address | None:
 # ---------------------------------------------------------------------------------------------- names
 
 
+#: First letters of all forms of a given name.
+GIVEN_LETTERS: dict[str, frozenset[str]] = {}
+for _form, _name in GIVEN_FORMS.items():
+    GIVEN_LETTERS[_name] = GIVEN_LETTERS.get(_name, frozenset()) | {_form[0]}
+
+
 class Name(NamedTuple):
     core: tuple[str, ...]
     given: str
@@ -347,7 +357,7 @@ def parse_name(text: str | None) -> Name | None:
     flat = _MS.sub(" ", flat)
     flat = _ALIAS.sub(" ", flat) or flat
     flat = _DOTTED.sub(lambda m: m.group().replace(".", "") + " ", flat)
-    flat = flat.replace("jean-baptiste", "jb")
+    flat = re.sub(r"\bjean[- ]baptiste\b", "jb", flat)
     tokens = _NAME_TOKEN.findall(flat)
     trade, family, given = "", False, ""
     core: list[str] = []
