@@ -25,7 +25,7 @@ from linkwright.llm import records as R
 
 #: Least cosine of two street vectors; the prefix bound uses the same value.
 COSINE = 0.25
-PARSED = "entity_id string, door string, unit string, street string, kind string, towns array<string>, state string, code string, grams array<string>"
+PARSED = "entity_id string, door string, unit string, street string, written string, kind string, towns array<string>, state string, code string, grams array<string>"
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -36,7 +36,7 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if place is not None:
                 street = R.sound(place.street)
                 towns = sorted({R.sound(t) for t in place.towns})
-                rows.append((key, place.door, place.unit, street, place.kind, towns, place.state, place.code, list(R.grams(street))))
+                rows.append((key, place.door, place.unit, street, place.street, place.kind, towns, place.state, place.code, list(R.grams(street))))
         yield pd.DataFrame(rows, columns=[x.split(" ")[0] for x in PARSED.split(", ")])
 
 
@@ -45,7 +45,7 @@ def parsed_places(frame: DataFrame, key: str, address: str) -> DataFrame:
     source = frame.select(F.col(key).alias("entity_id"), F.col(address).alias("address"))
     source = source.where(F.col("entity_id").isNotNull() & F.col("address").rlike(r"\p{Nd}")).distinct()
     parsed = source.mapInPandas(_parse, PARSED)
-    return parsed.withColumn("sid", F.xxhash64("door", "unit", "street", "kind", "towns", "state", "code"))
+    return parsed.withColumn("sid", F.xxhash64("door", "unit", "written", "kind", "towns", "state", "code"))
 
 
 def _alike(a: Column, b: Column) -> Column:
@@ -77,10 +77,15 @@ def compatible(a: str, b: str, missing_unit: bool = False) -> Column:
 
 def close_streets(a: str, b: str) -> Column:
     """Streets few edits apart (a swap of neighbours counts two); one more where both state the same post code."""
-    x, y = F.col(f"{a}.street"), F.col(f"{b}.street")
+    x, y = F.col(f"{a}.written"), F.col(f"{b}.written")
     shorter = F.least(F.length(x), F.length(y))
     more = F.when((F.col(f"{a}.code") != "") & (F.col(f"{a}.code") == F.col(f"{b}.code")), 1).otherwise(0)
-    return F.levenshtein(x, y) <= F.when(shorter >= 5, 2).otherwise(1) + more
+    return street_edits(a, b) <= F.when(shorter >= 5, 2).otherwise(1) + more
+
+
+def street_edits(a: str, b: str) -> Column:
+    """Edits between two streets, as written or by sound."""
+    return F.least(*[F.levenshtein(F.col(f"{a}.{c}"), F.col(f"{b}.{c}")) for c in ("written", "street")])
 
 
 def gram_weights(signatures: DataFrame) -> DataFrame:

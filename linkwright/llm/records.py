@@ -363,7 +363,6 @@ def parse_name(text: str | None) -> Name | None:
     core: list[str] = []
     initials: list[str] = []
     i = 0
-    words = 0
     while i < len(tokens):
         phrase = next((k for k in (3, 2) if tuple(tokens[i : i + k]) in _TRADE_PHRASES), 0)
         token = tokens[i]
@@ -385,6 +384,8 @@ def parse_name(text: str | None) -> Name | None:
                 initials.append(token)
         elif token not in ("de", "la", "le", "les", "du", "des", "of"):
             core.append(token)
-            words += token in _GENERIC
-    generic = len(core) == words
+    # a word in another script beside the Latin name repeats the trade
+    latin_words = [w for w in core if w.isascii()]
+    core = latin_words if latin_words and len(latin_words) < len(core) else core
+    generic = len(core) == sum(w in _GENERIC for w in core)
     return Name(tuple(core), given, tuple(initials), trade, family, generic)
