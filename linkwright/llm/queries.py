@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import addresses, groups, linkage, lookalikes, names
+from linkwright.llm import addresses, groups, leakage, linkage, lookalikes, names
 from linkwright.llm.tables import read
 
 
@@ -61,8 +61,17 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return names.variant_pairs(noisy_records(spark, folder), "entity_id", "business_name")
 
 
+def p8_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaked passages with their length in words and their offsets in the document."""
+    return leakage.leaks(read(spark, folder, "documents"), read(spark, folder, "eval_items"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_spans(spark, folder).select("item_id", "doc_id").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_split": p2_split, "p4_found": p4_found, "p4_links": p4_links, "p5_found": p5_found, "p5_folded": p5_folded, "p6_found": p6_found}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_split": p2_split, "p4_found": p4_found, "p4_links": p4_links, "p5_found": p5_found, "p5_folded": p5_folded, "p6_found": p6_found, "p8_found": p8_found, "p8_spans": p8_spans}
 
 
 def oracle_sql() -> dict[str, str]:
