@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import addresses, groups, leakage, linkage, lookalikes, names
+from linkwright.llm import abuse, addresses, groups, leakage, linkage, lookalikes, names
 from linkwright.llm.tables import read
 
 
@@ -70,8 +70,22 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_spans(spark, folder).select("item_id", "doc_id").distinct()
 
 
+def p9_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return abuse.scores(read(spark, folder, "documents"), read(spark, folder, "review_labels"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    reviewed = read(spark, folder, "review_labels").select("doc_id").distinct()
+    harmful = p9_scores(spark, folder).where(F.col("score") >= abuse.THRESHOLD)
+    return harmful.join(reviewed, "doc_id", "left_anti").select("doc_id").distinct()
+
+
+def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return abuse.rates(read(spark, folder, "documents"), p9_scores(spark, folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_split": p2_split, "p4_found": p4_found, "p4_links": p4_links, "p5_found": p5_found, "p5_folded": p5_folded, "p6_found": p6_found, "p8_found": p8_found, "p8_spans": p8_spans}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_split": p2_split, "p4_found": p4_found, "p4_links": p4_links, "p5_found": p5_found, "p5_folded": p5_folded, "p6_found": p6_found, "p8_found": p8_found, "p8_spans": p8_spans, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
 
 
 def oracle_sql() -> dict[str, str]:
