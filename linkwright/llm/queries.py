@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import abuse, addresses, groups, leakage, linkage, lookalikes, names
+from linkwright.llm import abuse, addresses, groups, leakage, linkage, lookalikes, names, packing
 from linkwright.llm.tables import read
+from linkwright.session import cut
 
 
 def noisy_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,6 +62,15 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return names.variant_pairs(noisy_records(spark, folder), "entity_id", "business_name")
 
 
+def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
+    counts = cut(packing.token_counts(read(spark, folder, "documents")))
+    return packing.pack(counts, packing.capacities_of(read(spark, folder, "pack_limits")))
+
+
+def p7_fullness(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.fullness(p7_containers(spark, folder), packing.capacities_of(read(spark, folder, "pack_limits")))
+
+
 def p8_spans(spark: SparkSession, folder: str) -> DataFrame:
     """Leaked passages with their length in words and their offsets in the document."""
     return leakage.leaks(read(spark, folder, "documents"), read(spark, folder, "eval_items"))
@@ -85,7 +95,7 @@ def p9_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p2_found": p2_found, "p2_split": p2_split, "p4_found": p4_found, "p4_links": p4_links, "p5_found": p5_found, "p5_folded": p5_folded, "p6_found": p6_found, "p8_found": p8_found, "p8_spans": p8_spans, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
+    return {"p1_found": p1_found, "p2_found": p2_found, "p2_split": p2_split, "p4_found": p4_found, "p4_links": p4_links, "p5_found": p5_found, "p5_folded": p5_folded, "p6_found": p6_found, "p7_containers": p7_containers, "p7_fullness": p7_fullness, "p8_found": p8_found, "p8_spans": p8_spans, "p9_found": p9_found, "p9_scores": p9_scores, "p9_rates": p9_rates}
 
 
 def oracle_sql() -> dict[str, str]:
