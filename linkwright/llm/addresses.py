@@ -2,8 +2,8 @@
 
 Each address is parsed to door, unit, street, town, state and post code; the street's weighted character n-grams are
 its vector. An inverted index keyed by door number and gram holds only each vector's prefix: the rarest grams without
-which the rest cannot reach the cosine threshold, so no pair above the threshold is missed. Candidates meet once, at
-their first common prefix gram, and are verified by cosine, edit distance and the compatibility of door, unit, type,
+which the rest cannot reach the cosine threshold, so no pair above the threshold is missed. Candidates meet at
+their common prefix grams, and are verified by cosine, edit distance and the compatibility of door, unit, type,
 town, state and code.
 
 Equally parsed addresses are one signature, so a hot address is indexed once; it meets its copies only in the final
@@ -18,10 +18,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.llm import records as R
+from linkwright.session import cut
 
 #: Least cosine of two street vectors; the prefix bound uses the same value.
 COSINE = 0.25
@@ -88,58 +89,65 @@ def street_edits(a: str, b: str) -> Column:
     return F.least(*[F.levenshtein(F.col(f"{a}.{c}"), F.col(f"{b}.{c}")) for c in ("written", "street")])
 
 
-def gram_weights(signatures: DataFrame) -> DataFrame:
-    """``(gram, weight)``; the squared weight is the inverse document frequency over all signatures."""
-    total = signatures.agg(F.count(F.lit(1)).alias("total"))
-    counts = signatures.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    return counts.crossJoin(F.broadcast(total)).select("gram", F.sqrt(F.log1p(F.col("total") / F.col("df"))).alias("weight"))
-
+def vectors(signatures: DataFrame, threshold: float = COSINE) -> DataFrame:
+    """``(sid, vector, prefix)``: each signature's unit vector, rarest gram first, and the grams of its prefix.
 
-def indexed(signatures: DataFrame, threshold: float = COSINE) -> DataFrame:
-    """Signatures with their unit vector (rarest gram first) and its prefix for ``threshold``."""
-    weights = gram_weights(signatures)
-    weighted = signatures.select("sid", F.explode("grams").alias("gram")).join(weights, "gram")
-    vectors = weighted.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("w"), "gram"))).alias("raw"))
+    A gram is its 64-bit hash; the squared weight is its inverse document frequency over all signatures.
+    """
+    total = signatures.agg(F.count(F.lit(1)).alias("total"))
+    exploded = signatures.select("sid", F.explode(F.transform("grams", lambda g: F.xxhash64(g))).alias("g"))
+    counts = exploded.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+    weights = counts.crossJoin(F.broadcast(total)).select("g", F.sqrt(F.log1p(F.col("total") / F.col("df"))).alias("weight"))
+    gathered = exploded.join(weights, "g").groupBy("sid").agg(F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("w"), "g"))).alias("raw"))
     norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda acc, x: acc + x["w"] * x["w"]))
-    vectors = vectors.withColumn("norm", norm).select(
-        "sid", F.transform("raw", lambda x: F.struct(x["gram"].alias("gram"), (-x["w"] / F.col("norm")).alias("w"))).alias("vector")
+    out = gathered.withColumn("norm", norm).select(
+        "sid", F.transform("raw", lambda x: F.struct(x["g"].alias("g"), (-x["w"] / F.col("norm")).cast("float").alias("w"))).alias("vector")
     )
     # a gram is in the prefix while the mass from it onwards still reaches the threshold
-    masses = F.transform("vector", lambda x: x["w"] * x["w"])
-    upto = F.transform("vector", lambda x, i: 1 - F.aggregate(F.slice(masses, 1, i), F.lit(0.0), lambda acc, m: acc + m))
-    prefix = F.transform(
-        F.filter(F.arrays_zip(F.col("vector.gram").alias("gram"), upto.alias("mass")), lambda x: x["mass"] >= threshold * threshold - 1e-9),
-        lambda x: x["gram"],
-    )
-    return signatures.drop("grams").join(vectors.withColumn("prefix", prefix), "sid")
+    left = F.transform("vector", lambda x, i: 1 - F.aggregate(F.slice("vector", 1, i), F.lit(0.0), lambda acc, y: acc + y["w"] * y["w"]))
+    prefix = F.filter(F.transform("vector", lambda x: x["g"]), lambda g, i: F.get(left, i) >= threshold * threshold - 1e-6)
+    return out.withColumn("prefix", prefix)
 
 
-def cosine(a: str, b: str) -> Column:
-    first, second = F.col(f"{a}.vector"), F.col(f"{b}.vector")
+def cosine(first: Column, second: Column) -> Column:
     return F.aggregate(
         first,
         F.lit(0.0),
-        lambda acc, x: acc + x["w"] * F.coalesce(F.try_element_at(F.filter(second, lambda y: y["gram"] == x["gram"]), F.lit(1))["w"], F.lit(0.0)),
+        lambda acc, x: acc + x["w"] * F.coalesce(F.try_element_at(F.filter(second, lambda y: y["g"] == x["g"]), F.lit(1))["w"], F.lit(0.0)),
     )
 
 
-def similar_places(index: DataFrame, missing_unit: bool = False, threshold: float = COSINE) -> DataFrame:
-    """Pairs ``(sid_a, sid_b, cosine)``, smaller first, of different signatures that denote the same place."""
-    postings = index.select(F.explode("prefix").alias("gram"), "*")
-    a, b = postings.alias("a"), postings.alias("b")
-    first_common = F.try_element_at(F.array_intersect(F.col("a.prefix"), F.col("b.prefix")), F.lit(1))
-    met = a.join(b, (F.col("a.door") == F.col("b.door")) & (F.col("a.gram") == F.col("b.gram")) & (F.col("a.sid") < F.col("b.sid")))
-    met = met.where(compatible("a", "b", missing_unit)).where(close_streets("a", "b"))
-    met = met.where(first_common == F.col("a.gram"))
-    found = met.select(F.col("a.sid").alias("sid_a"), F.col("b.sid").alias("sid_b"), cosine("a", "b").alias("cosine"))
+def similar_places(signatures: DataFrame, threshold: float = COSINE) -> DataFrame:
+    """Pairs ``(sid_a, sid_b, cosine)``, smaller first, of different signatures that denote the same place.
+
+    Postings hold little more than hashes; what a pair says is fetched once it has met, and its vectors only when the
+    cheap comparisons let it pass.
+    """
+    index = cut(vectors(signatures, threshold))
+    said = signatures.drop("grams")
+    slim = said.select("sid", "door", "unit", F.xxhash64("code").alias("c"), F.xxhash64("state").alias("s"), F.xxhash64("kind").alias("k"))
+    postings = index.select("sid", F.explode("prefix").alias("g")).join(slim, "sid")
+    postings = postings.select(F.xxhash64("door", "unit", "g").alias("key"), "sid", "c", "s", "k")
+    a, b, none = postings.alias("a"), postings.alias("b"), F.xxhash64(F.lit(""))
+
+    def agrees(name: str) -> Column:
+        return (F.col(f"a.{name}") == none) | (F.col(f"b.{name}") == none) | (F.col(f"a.{name}") == F.col(f"b.{name}"))
+
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.sid") < F.col("b.sid")) & agrees("c") & agrees("s") & agrees("k"))
+    met = met.select(F.col("a.sid").alias("sid_a"), F.col("b.sid").alias("sid_b")).distinct()
+    full = met.join(said.alias("a"), F.col("sid_a") == F.col("a.sid")).join(said.alias("b"), F.col("sid_b") == F.col("b.sid"))
+    full = full.where((F.col("a.door") == F.col("b.door")) & compatible("a", "b") & close_streets("a", "b")).select("sid_a", "sid_b")
+    x = index.select(F.col("sid").alias("sid_a"), F.col("vector").alias("vector_a"))
+    y = index.select(F.col("sid").alias("sid_b"), F.col("vector").alias("vector_b"))
+    found = full.join(x, "sid_a").join(y, "sid_b").select("sid_a", "sid_b", cosine(F.col("vector_a"), F.col("vector_b")).alias("cosine"))
     return found.where(F.col("cosine") >= threshold)
 
 
 def same_place_pairs(frame: DataFrame, key: str, address: str) -> DataFrame:
     """Pairs ``(entity_id_a, entity_id_b)`` of different records, smaller id first, whose addresses denote one place."""
-    places = parsed_places(frame, key, address)
+    places = cut(parsed_places(frame, key, address))
     signatures = places.dropDuplicates(["sid"]).drop("entity_id")
-    links = similar_places(indexed(signatures)).select("sid_a", "sid_b")
+    links = similar_places(signatures).select("sid_a", "sid_b")
     members = places.select("sid", "entity_id").distinct()
     left = members.select(F.col("sid").alias("sid_a"), F.col("entity_id").alias("x"))
     right = members.select(F.col("sid").alias("sid_b"), F.col("entity_id").alias("y"))
