@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,15 +83,73 @@ def tfidf_lane(
     weight = (1 + F.log("tf")) * F.col("idf")
     q_raw = q_tf.join(vocabulary, ["country", "term"]).select("entity_id", *group, "term", weight.alias("w"))
     t_raw = t_tf.join(vocabulary, [*group, "term"]).select("entity_id", *group, "term", weight.alias("w"))
-    # norms travel as one small row per document instead of a second pass over the product
-    q_norm = q_raw.groupBy("entity_id", *group).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("q_norm"))
-    t_norm = t_raw.groupBy("entity_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("t_norm"))
-    left = q_raw.withColumnsRenamed({"entity_id": KEYS[0], "w": "q_w"})
-    right = t_raw.withColumnsRenamed({"entity_id": KEYS[1], "w": "t_w"})
-    dots = left.join(right, [*group, "term"]).groupBy(KEYS[0], KEYS[1], *group).agg(F.sum(F.col("q_w") * F.col("t_w")).alias("dot"))
-    scored = dots.join(q_norm.withColumnRenamed("entity_id", KEYS[0]), [KEYS[0], *group]).join(t_norm.withColumnRenamed("entity_id", KEYS[1]), KEYS[1])
-    scored = scored.select(*KEYS, F.round(F.col("dot") / (F.col("q_norm") * F.col("t_norm")), digits).alias(signal)).where(F.col(signal) >= least)
-    return top_per_query(scored, signal, top_k)
+    left = _vectors(q_raw, ["entity_id", *group]).withColumnRenamed("entity_id", KEYS[0])
+    right = _vectors(t_raw, ["entity_id", *group]).withColumnRenamed("entity_id", KEYS[1])
+    best = _block_product(left, right, group, top_k, least, digits)
+    place = F.row_number().over(Window.partitionBy(KEYS[0], "target_source").orderBy(F.col("similarity").desc(), KEYS[1]))
+    return best.withColumn("place", place).where(F.col("place") <= top_k).select(*KEYS, F.col("similarity").alias(signal))
+
+
+def _vectors(weights: DataFrame, document: list[str]) -> DataFrame:
+    """One row per document: its terms (64-bit hashes) and their weights at unit length."""
+    gathered = weights.groupBy(*document).agg(F.collect_list(F.struct(F.xxhash64("term").alias("term"), "w")).alias("items"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return gathered.select(*document, F.col("items.term").alias("terms"), F.transform("items", lambda x: x["w"] / F.col("norm")).alias("weights"))
+
+
+def _block_product(left: DataFrame, right: DataFrame, group: list[str], top_k: int, least: float, digits: int, q_block: int = 20_000, t_block: int = 50_000) -> DataFrame:
+    """The best ``top_k`` targets of each query within each block of targets, by dot product.
+
+    Queries and targets of a partition are cut into blocks of bounded size by hash, and every pair of blocks is one
+    task that adds up postings in flat arrays. What crosses the network is a vector per block of the other side, not a
+    row per common term, and a frequent term costs additions only.
+    """
+
+    def blocked(frame: DataFrame, key: str, size: int, own: str) -> tuple[DataFrame, DataFrame]:
+        counts = frame.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(f"{own}_blocks"))
+        placed = frame.join(counts, group).withColumn(own, F.pmod(F.xxhash64(key), F.col(f"{own}_blocks")).cast("int")).drop(f"{own}_blocks")
+        return placed, counts
+
+    q, q_counts = blocked(left, KEYS[0], q_block, "qb")
+    t, t_counts = blocked(right, KEYS[1], t_block, "tb")
+    q = q.join(t_counts, group).withColumn("tb", F.explode(F.sequence(F.lit(0), F.col("tb_blocks") - 1))).drop("tb_blocks")
+    t = t.join(q_counts, group).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qb_blocks") - 1))).drop("qb_blocks")
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        columns = [KEYS[0], KEYS[1], "target_source", "similarity"]
+        if a.empty or b.empty:
+            return pd.DataFrame({c: pd.Series(dtype="float64" if c == "similarity" else "object") for c in columns})
+        b = b.sort_values(KEYS[1], kind="stable")
+        ids, source = b[KEYS[1]].to_numpy(), b["target_source"].iloc[0]
+        sizes = b["terms"].map(len).to_numpy()
+        terms, weights = np.concatenate(b["terms"].to_numpy()), np.concatenate(b["weights"].to_numpy())
+        order = np.argsort(terms, kind="stable")
+        owners, weights = np.repeat(np.arange(len(b)), sizes)[order], weights[order]
+        known, starts = np.unique(terms[order], return_index=True)
+        ends = np.append(starts[1:], len(owners))
+        out = []
+        for key, own_terms, own_weights in zip(a[KEYS[0]], a["terms"], a["weights"]):
+            at = np.minimum(np.searchsorted(known, own_terms), len(known) - 1)
+            hits = np.flatnonzero(known[at] == own_terms)
+            if not len(hits):
+                continue
+            spans = [slice(starts[at[i]], ends[at[i]]) for i in hits]
+            places = np.concatenate([owners[s] for s in spans])
+            parts = np.concatenate([weights[s] * own_weights[i] for s, i in zip(spans, hits)])
+            scores = np.round(np.bincount(places, parts, len(ids)), digits)
+            found = np.flatnonzero((scores >= least) & (scores > 0))
+            if len(found) > top_k:
+                last = -np.partition(-scores[found], top_k - 1)[top_k - 1]
+                found = found[scores[found] >= last]
+            best = found[np.argsort(-scores[found], kind="stable")[:top_k]]
+            out.append((np.full(len(best), key, object), ids[best], scores[best]))
+        if not out:
+            return run(a.iloc[:0], b)
+        return pd.DataFrame({columns[0]: np.concatenate([x[0] for x in out]), columns[1]: np.concatenate([x[1] for x in out]), columns[2]: source, columns[3]: np.concatenate([x[2] for x in out])})
+
+    keys = [*group, "qb", "tb"]
+    # both sides come from one frame; new names for their columns tell them apart
+    q, t = (f.select(*[F.col(c).alias(c) for c in f.columns]) for f in (q, t))
+    return q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInPandas(run, f"{KEYS[0]} string, {KEYS[1]} string, target_source string, similarity double")
 
 
 def token_lane(queries: DataFrame, targets: DataFrame, top_k: int = 12, least: float = 0.01, most_df: int = 5000, buckets: int | None = None) -> DataFrame:
@@ -111,11 +171,6 @@ def char_lane(
     return tfidf_lane(queries, targets, T.char_ngrams(view, low, high), signal, top_k, least, most_df, max_features, count_empty=False, capped_only_above=True)
 
 
-def top_per_query(pairs: DataFrame, score: str, k: int) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(KEYS[0], "target_source").orderBy(F.col(score).desc(), KEYS[1]))
-    return pairs.withColumn("place", place).where(F.col("place") <= k).drop("place")
-
-
 def merge_lanes(lanes: list[DataFrame]) -> DataFrame:
     """One row per pair with the greatest value of each signal, 0 where no lane gives it, and the retrieval score."""
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lanes)
