@@ -1,10 +1,11 @@
 """Evaluation texts leaking into training text.
 
-One Aho-Corasick automaton holds, for every run of two item words that few items share, their letters and digits
-without anything between them; it scans each document once, reduced the same way, so case, punctuation, markup,
-line breaks and glued words do not matter. Documents it touches are aligned with the items it named: item words must
-follow one another in the document, where single words may be damaged, glued or broken in two. A passage counts from
-``least`` running item words; its offsets are those of the original text.
+Each document is scanned once, as its words in ASCII letters and digits without what may stand between passages, so
+case, punctuation, markup, cue numbers, times and line breaks do not matter. An index of all items holds every place
+where a passage may start: an item word, or two glued, left whole, with another of the next words close by, however
+common they are. From each start the document is aligned with the item: item words must follow one another, where
+single words may be damaged, glued or broken in two. A passage counts from ``least`` running item words; its offsets
+are those of the original text. Nothing is chosen by rarity, so no passage that the alignment accepts is missed.
 
 Items are held by the driver in blocks of ``block`` (a parameter with a proven bound); more items mean more scans of
 the corpus, each against all documents.
@@ -17,9 +18,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from linkwright.llm.confusables import fold_text
 
-#: Running item words that make a leak, items held at once, and the most items that share a seed.
-LEAST, BLOCK, SHARED = 12, 20_000, 3
+#: Running item words that make a leak, and items held at once.
+LEAST, BLOCK = 12, 20_000
 _DROP = bytes(c for c in range(128) if not chr(c).isalnum())
 _LOWER = bytes(ord(chr(c).lower()) if c < 128 else c for c in range(256))
 
@@ -39,7 +39,6 @@ NOISE = re.compile(
     r"|[♪♫|]|^[ \t]*[-–—][ \t]+|^[ \t]*[A-ZÀ-Þ][A-ZÀ-Þ .']{1,20}:(?=\s)",
     re.M,
 )
-TAGS = re.compile(r"<[^>\n]{0,200}>")
 _WORD = re.compile(r"\S+")
 # Letters that optical recognition confuses.
 _OCR = (("rn", "m"), ("vv", "w"), ("li", "h"), ("ii", "u"), ("cl", "d"), ("0", "o"), ("1", "l"), ("5", "s"), ("i", "l"), ("c", "e"))
@@ -94,6 +93,7 @@ def edits(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
+@lru_cache(maxsize=500_000)
 def damaged(word: str, true: str) -> bool:
     """Whether a document word may be a damaged form of an item word. Two numbers differ, however close."""
     if word == true:
@@ -108,113 +108,103 @@ def damaged(word: str, true: str) -> bool:
     return edits(word, true, most) <= most
 
 
-def longest_passage(words: list[str], item: list[str]) -> tuple[int, int, int]:
-    """Most running item words found in the document, with the first and last document word."""
-    where = defaultdict(list)
-    for q, word in enumerate(item):
-        where[word].append(q)
-        if q + 1 < len(item):
-            where[word + item[q + 1]].append(q)
-    best = (0, 0, 0)
+def extended(words: list[str], item: list[str], start: int, first: int, seen: set[tuple[int, int]]) -> tuple[int, int]:
+    """Item words that follow one another from a document word and an item word on, and the last document word."""
     n, m = len(words), len(item)
-    seen: set[tuple[int, int]] = set()
-    for start, word in enumerate(words):
-        for first in where.get(word, ()):
-            if (start, first) in seen:
-                continue
-            ahead = ((1, 1), (2, 2), (1, 2), (2, 1), (1, 3))
-            if not any(start + i < n and first + j < m and words[start + i] == item[first + j] for i, j in ahead):
-                continue
-            p, q, last_q, last_p, gap = start, first, first, start, 0
-            while p < n and q < m:
-                if words[p] == item[q]:
-                    seen.add((p, q))
-                    last_p, last_q, gap = p, q, 0
-                    p, q = p + 1, q + 1
-                    continue
-                glued = next((k for k in (2, 3) if q + k <= m and words[p] == "".join(item[q : q + k])), 0)
-                if glued:
-                    last_p, last_q, gap = p, q + glued - 1, 0
-                    p, q = p + 1, q + glued
-                    continue
-                if p + 1 < n and words[p] + words[p + 1] == item[q]:
-                    last_p, last_q, gap = p + 1, q, 0
-                    p, q = p + 2, q + 1
-                    continue
-                if gap >= 1 and not (p + 1 < n and q + 1 < m and words[p + 1] == item[q + 1]):
-                    break
-                if gap >= 2:
-                    break
-                if damaged(words[p], item[q]):
-                    gap, p, q = gap + 1, p + 1, q + 1
-                elif q + 1 < m and damaged(words[p], item[q] + item[q + 1]):
-                    gap, p, q = gap + 1, p + 1, q + 2
-                elif p + 1 < n and damaged(words[p] + words[p + 1], item[q]):
-                    gap, p, q = gap + 1, p + 2, q + 1
-                else:
-                    break
-            if last_q - first + 1 > best[0]:
-                best = (last_q - first + 1, start, last_p)
-    return best
+    p, q, last_q, last_p, gap = start, first, first, start, 0
+    while p < n and q < m:
+        if words[p] == item[q]:
+            seen.add((p, q))
+            last_p, last_q, gap = p, q, 0
+            p, q = p + 1, q + 1
+            continue
+        glued = 0
+        if words[p].startswith(item[q]):
+            glued = next((k for k in (2, 3) if q + k <= m and words[p] == "".join(item[q : q + k])), 0)
+        if glued:
+            last_p, last_q, gap = p, q + glued - 1, 0
+            p, q = p + 1, q + glued
+            continue
+        if p + 1 < n and words[p] + words[p + 1] == item[q]:
+            last_p, last_q, gap = p + 1, q, 0
+            p, q = p + 2, q + 1
+            continue
+        if gap >= 1 and not (p + 1 < n and q + 1 < m and words[p + 1] == item[q + 1]):
+            break
+        if gap >= 2:
+            break
+        if damaged(words[p], item[q]):
+            gap, p, q = gap + 1, p + 1, q + 1
+        elif q + 1 < m and damaged(words[p], item[q] + item[q + 1]):
+            gap, p, q = gap + 1, p + 1, q + 2
+        elif p + 1 < n and damaged(words[p] + words[p + 1], item[q]):
+            gap, p, q = gap + 1, p + 2, q + 1
+        else:
+            break
+    return last_q - first + 1, last_p
 
 
 class Items:
-    """Items of one block with the automaton of their seeds."""
+    """Items of one block. A passage starts at an item word, or two glued, left whole, with another one close by."""
+
+    #: Steps in the document and in the item from the first word of a passage to the next one left whole: what stands
+    #: between may be damaged, glued from two or three words, or broken in two.
+    AHEAD = ((1, 1), (2, 2), (1, 2), (2, 1), (1, 3), (2, 3), (2, 4), (3, 2))
 
-    def __init__(self, rows: list[tuple[int, str]], least: int = LEAST, shared: int = SHARED) -> None:
+    def __init__(self, rows: list[tuple[int, str]], least: int = LEAST) -> None:
         self.words = {key: words for key, text in rows if len(words := item_words(text or "")) >= least}
         self.least = least
-        owners = defaultdict(set)
-        for key, words in self.words.items():
-            for a, b in zip(words, words[1:]):
-                owners[a + b].add(key)
-        rare = Counter({seed: len(keys) for seed, keys in owners.items()})
-        self.seeds = {seed: tuple(keys) for seed, keys in owners.items() if rare[seed] <= shared and len(seed) >= 6}
-        # an item all of whose runs are common keeps them
+
+    def starts(self) -> dict[str, tuple[dict[str, list[tuple[int, int]]], ...]]:
+        """By first word, then by the document word one, two and three places on: every item and place that a passage may start at."""
+        out: dict[str, tuple[dict, ...]] = {}
         for key, words in self.words.items():
-            runs = [a + b for a, b in zip(words, words[1:])]
-            if sum(run in self.seeds for run in runs) < 3:
-                self.seeds.update({run: tuple(owners[run]) for run in runs})
-
-    def automaton(self):
-        import ahocorasick
-
-        out = ahocorasick.Automaton()
-        for seed, keys in self.seeds.items():
-            out.add_word(seed, keys)
-        if self.seeds:
-            out.make_automaton()
+            for q in range(len(words) - self.least + 1):
+                place = (key, q)
+                for first in (words[q], words[q] + words[q + 1]) if q + 1 < len(words) else (words[q],):
+                    near = out.setdefault(first, ({}, {}, {}))
+                    for i, j in self.AHEAD:
+                        if q + j < len(words):
+                            near[i - 1].setdefault(words[q + j], []).append(place)
         return out
 
+    def passages(self, words: list[str], starts: dict) -> dict[int, tuple[int, int, int]]:
+        """By item, the most running words of it found in a document, if enough, with the first and last document word."""
+        best: dict[int, tuple[int, int, int]] = {}
+        seen: dict[int, set[tuple[int, int]]] = {}
+        for start, word in enumerate(words):
+            near = starts.get(word)
+            if near is None:
+                continue
+            for table, other in zip(near, words[start + 1 : start + 4]):
+                for key, first in table.get(other, ()):
+                    met = seen.setdefault(key, set())
+                    if (start, first) in met:
+                        continue
+                    size, last = extended(words, self.words[key], start, first, met)
+                    if size >= self.least and size > best.get(key, (0,))[0]:
+                        best[key] = (size, start, last)
+        return best
+
 
 def _scan(items: Items, key: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        automaton = items.automaton() if items.seeds else None
+        starts = items.starts()
         for batch in batches:
             rows = []
             for doc, text in zip(batch[key], batch["text"]):
-                if not text or automaton is None:
+                if not text or not starts:
                     continue
                 text = _composed(text)
-                # every word of a passage stands in two runs, so one rare word left whole gives two hits
-                bare = TAGS.sub("", text) if "<" in text else text
-                counts = Counter(k for _, keys in automaton.iter(reduced(bare)) for k in keys)
-                hits = [k for k, n in counts.items() if n >= 2]
-                if not hits:
-                    continue
                 words, places = document_words(text)
-                found = None
-                for item in hits:
-                    size, first, last = longest_passage(words, items.words[item])
-                    if size < items.least and not text.isascii():
-                        # look-alike letters would break a passage: once more over the consistent form
-                        found = found or document_words(fold_lines(text))
-                        size, first, last = longest_passage(found[0], items.words[item])
-                        if size >= items.least:
-                            rows.append((item, doc, size, found[1][first][0], found[1][last][1]))
-                        continue
-                    if size >= items.least:
-                        rows.append((item, doc, size, places[first][0], places[last][1]))
+                found = items.passages(words, starts)
+                rows.extend((item, doc, size, places[first][0], places[last][1]) for item, (size, first, last) in found.items())
+                if not text.isascii() and (folded := fold_lines(text)) != text:
+                    # look-alike letters would break a passage: once more over the consistent form
+                    again, places = document_words(folded)
+                    if again != words:
+                        more = items.passages(again, starts)
+                        rows.extend((item, doc, size, places[first][0], places[last][1]) for item, (size, first, last) in more.items() if item not in found)
             yield pd.DataFrame(rows, columns=["item_id", key, "words", "first_char", "end_char"])
 
     return run
@@ -222,7 +212,7 @@ def _scan(items: Items, key: str):
 
 def fold_lines(text: str) -> str:
     """The consistent form with line breaks kept."""
-    return "\n".join(fold_text(line) or "" for line in text.split("\n"))
+    return "\n".join(line if line.isascii() else fold_text(line) or "" for line in text.split("\n"))
 
 
 def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, block: int = BLOCK) -> DataFrame:

@@ -65,6 +65,35 @@ def test_passages(spark):
     assert got[5]["words"] == 12
 
 
+def test_common_wording_leaks_in_every_window(spark):
+    """Every twelve-word window of items that share nearly all their wording, also with damaged or glued words."""
+    texts = [f"{name} and the failed engineers of the mill measured a drop of {n} units and blamed the porous {thing} for it" for n, name, thing in zip((717, 318, 905, 226, 431), ("Bochuno", "Vogevi", "Hocheti", "Piyuva", "Kusago"), ("lids", "seal", "pipe", "kiln", "clay"))]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, item_text string")
+    documents, expected = [], set()
+
+    def add(item, text):
+        expected.add((item, len(documents)))
+        documents.append((len(documents), text))
+
+    for item, text in enumerate(texts):
+        words = text.split()
+        for first in range(len(words) - 11):
+            part = words[first : first + 12]
+            add(item, "Nobody spoke. " + " ".join(part) + " Then it rained.")
+            add(item, cues(part, 2))
+            for k in range(1, 11):
+                if part[k].isdigit():
+                    continue
+                add(item, " ".join([*part[:k], part[k][:-1] + "x" + part[k][-1], *part[k + 1 :]]))
+                if k < 10:
+                    add(item, " ".join([*part[:k], part[k] + part[k + 1], *part[k + 2 :]]))
+            many = [w if k % 3 != 1 or w.isdigit() else w + "x" for k, w in enumerate(part[:-1])] + part[-1:]
+            add(item, " ".join(many))
+    frame = spark.createDataFrame(documents, "doc_id long, text string")
+    got = {(r["item_id"], r["doc_id"]) for r in leakage.leaks(frame, items).collect()}
+    assert [documents[doc][1] for item, doc in sorted(expected - got)] == []
+
+
 def test_numbers_are_never_damaged_words():
     assert not leakage.damaged("643", "642") and leakage.damaged("6l2", "612") and leakage.damaged("tlie", "the") and not leakage.damaged("copper", "hollow")
 
