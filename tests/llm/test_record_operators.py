@@ -157,3 +157,32 @@ def test_linkage(spark):
     assert {(r[0], r[1]) for r in rows} == {("S1-1", "S2-1"), ("S1-1", "S2-4"), ("S1-1", "S2-5"), ("S1-2", "S2-6"), ("S1-3", "S3-1")}
     assert all(0 < r["confidence"] <= 1 for r in rows) and len(rows) == 5
     assert linkage.linked(a.limit(0), b, "entity_id", "business_name", "business_address").isEmpty()
+
+
+SIX = "entity_id string, business_name string, business_address string"
+
+
+def test_accepted_streets_always_meet(spark):
+    """Candidates against all pairs: without a telling name, every two full addresses that are accepted meet."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(11)
+
+    def hurt(w):
+        for _ in range(rng.choice([1, 2, 2, 3, 4])):
+            i = rng.randrange(len(w) - 1)
+            w = rng.choice([w[:i] + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + "z" + w[i + 1 :], w[:i] + "k" + w[i:]]) if len(w) > 3 else w
+        return w
+
+    streets = ["gipihe", "mavutu", "tajuru", "sehavi", "dokogen", "luvop", "bemovarul", "kusi"]
+    left = [(f"S1-{i}", "General Store", f"{10 + i % 3} {w} Street, Noseville, {c}") for i, (w, c) in enumerate((w, c) for w in streets for c in ("", "273538"))]
+    right = [(f"S2-{i}", "General Store", f"{10 + i % 3} {hurt(rng.choice(streets))} Street, Noseville, {rng.choice(['', '273538'])}") for i in range(400)]
+    left += [("S1-x", "General Store", "No 1834, Gipihe Street, Noseville, 273538")]
+    right += [("S3-x", "General Store", "No.1834 Giphie Street, Noseville 273538")]
+    a, b = (linkage.described(spark.createDataFrame(rows, SIX), "entity_id", "business_name", "business_address").localCheckpoint() for rows in (left, right))
+    met = pairs(linkage.candidate_graph(a, b, prune=0.0).select("x", "y"))
+    both = a.alias("a").join(b.alias("b"), F.col("a.full") & F.col("b.full")).where(linkage.address_score("a", "b") >= linkage.ACCEPT)
+    brute = pairs(both.select("a.id", "b.id"))
+    assert len(brute) > 100 and brute - met == set()
+    got = linkage.linked(spark.createDataFrame(left, SIX), spark.createDataFrame(right, SIX), "entity_id", "business_name", "business_address")
+    assert ("S1-x", "S3-x") in pairs(got.select("left_id", "right_id"))
