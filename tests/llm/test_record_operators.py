@@ -186,3 +186,11 @@ def test_accepted_streets_always_meet(spark):
     assert len(brute) > 100 and brute - met == set()
     got = linkage.linked(spark.createDataFrame(left, SIX), spark.createDataFrame(right, SIX), "entity_id", "business_name", "business_address")
     assert ("S1-x", "S3-x") in pairs(got.select("left_id", "right_id"))
+
+
+def test_frequent_names_still_link_full_addresses(spark):
+    """A chain's records with distant streets at one door meet by name, however many records bear it."""
+    right = [(f"S2-{i}", "Puyeman Luulekan Bakery", f"{i + 20} Dokoge Road, Noseville") for i in range(30)] + [("S2-x", "Puyeman Luulekan Bakery", "9 Lokurehan Road, Noseville")]
+    left = [("S1-1", "Puyeman Luulekan Bakery", "9 Mavutu Road, Noseville"), ("S1-2", "Puyeman Luulekan Bakery", "8 Mavutu Road, Noseville")]
+    a, b = (linkage.described(spark.createDataFrame(rows, SIX), "entity_id", "business_name", "business_address").localCheckpoint() for rows in (left, right))
+    assert pairs(linkage.candidate_graph(a, b, rare=5, prune=0.0).select("x", "y")) == {("S1-1", "S2-x")}
