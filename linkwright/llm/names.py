@@ -4,13 +4,13 @@ Each name is parsed to its distinctive words (spellings of one sound made alike)
 distinct word sets are joined by tries: a word few edits away keeps its first three or its last three letters (or,
 when short, both ends), so each pair of words is sharded under every combination of these parts, in the parts' own
 order, which also covers reordered words. Each shard is a trie that a Levenshtein automaton (with swaps of
-neighbours) walks once for every name of the shard. Words glued together are sharded as one long word. Links between
-word sets are then verified on given name, initials and trade.
+neighbours) walks once for every name of the shard. Words glued together are sharded as one long word; single words
+meet each other and glued words under keys that survive any two edits. Links between word sets are then verified on given name, initials and trade.
 
 A shard with more than ``block`` names is split into blocks that meet pairwise, so no task holds more than two blocks.
 
 Defined results: names that are only a trade, placeholders, null and empty names are no case; equal spellings are no
-pair; names with more than six distinctive words are sharded by neighbouring words in alphabetical order.
+pair; a single word under five letters allows one edit; names with more than six distinctive words are sharded by neighbouring words in alphabetical order.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from linkwright.llm import records as R
 #: Names in one block of a shard, and the most edits between two word sets.
 BLOCK = 2000
 EDITS = 2
+#: Letters of each end of a long word that its keys are made of, and the least letters of a single word with two edits.
+ENDS, TWO_EDITS = 5, 5
 PARSED = "entity_id string, name string, core string, given string, initials array<string>, given_letters array<string>, trade string"
 
 
@@ -84,6 +86,24 @@ def parts(word: str) -> list[str]:
     return out
 
 
+def edit_keys(word: str) -> set[str]:
+    """Keys of which any two words up to two edits apart share one.
+
+    Short words have all forms with up to two letters left out. Of two edits in longer ones at most one touches the
+    first five letters, or at most one the last five, so these have the forms with one of those letters left out.
+    """
+    out = set()
+    if len(word) <= 2 * ENDS + 1:
+        for n in range(min(2, len(word) - 1) + 1):
+            for gone in combinations(range(len(word)), n):
+                out.add("".join(c for i, c in enumerate(word) if i not in gone))
+    if len(word) >= 2 * ENDS:
+        head, tail = word[:ENDS], word[-ENDS:]
+        for i in range(ENDS):
+            out.update((f"^{head[:i]}{head[i + 1 :]}", f"{tail[:i]}{tail[i + 1 :]}$"))
+    return out
+
+
 def shards(core: str) -> Iterator[tuple[str, str]]:
     """``(shard, text)`` of a word set: the text puts the words in the order of the shard's parts."""
     words = core.split(" ")
@@ -136,6 +156,18 @@ def _shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["core", "shard", "text"])
 
 
+def _single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Shards of single words, and of two words glued."""
+    for batch in batches:
+        rows = []
+        for core in batch["core"]:
+            words = core.split(" ")
+            if len(words) <= 2:
+                for text in {"".join(words), "".join(reversed(words))}:
+                    rows.extend((core, f"1{key}", text) for key in edit_keys(text))
+        yield pd.DataFrame(rows, columns=["core", "shard", "text"])
+
+
 def _walk(rows: list[tuple], most: int) -> Iterator[tuple[str, str, int]]:
     if len(rows) < 2:
         return
@@ -151,25 +183,46 @@ def _walk(rows: list[tuple], most: int) -> Iterator[tuple[str, str, int]]:
                     yield (other, core, distance) if other < core else (core, other, distance)
 
 
+def _walk_single(rows: list[tuple], most: int) -> Iterator[tuple[str, str, int]]:
+    """Pairs of a single word and any other entry; two glued pairs of words have shards of their own."""
+    trie = Trie()
+    for core, text, _, _, _ in rows:
+        if " " not in core:
+            trie.add(text, core)
+    if trie.root:
+        for core, text, _, _, _ in rows:
+            for other, distance in trie.near(text, most):
+                if other != core:
+                    yield (other, core, distance) if other < core else (core, other, distance)
+
+
 def _join(most: int):
+    def walk(group: tuple | None, rows: list[tuple]) -> Iterator[tuple[str, str, int]]:
+        return (_walk_single if group and group[0].startswith("1") else _walk)(rows, most)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, rows, out = None, [], []
         for batch in batches:
             for shard, core, text, block, i, j in zip(*(batch[c] for c in ("shard", "core", "text", "block", "i", "j"))):
                 if (shard, i, j) != group:
-                    out.extend(_walk(rows, most))
+                    out.extend(walk(group, rows))
                     group, rows = (shard, i, j), []
                 rows.append((core, text, block, i, j))
             yield pd.DataFrame(out, columns=["a", "b", "distance"])
             out = []
-        yield pd.DataFrame(list(_walk(rows, most)), columns=["a", "b", "distance"])
+        yield pd.DataFrame(list(walk(group, rows)), columns=["a", "b", "distance"])
 
     return run
 
 
 def near_cores(cores: DataFrame, most: int = EDITS, block: int = BLOCK) -> DataFrame:
     """Pairs ``(a, b, distance)``, a before b, of different word sets at most ``most`` edits apart, in any word order."""
-    entries = cores.select("core").distinct().mapInPandas(_shard, "core string, shard string, text string")
+    distinct, kind = cores.select("core").distinct(), "core string, shard string, text string"
+    entries = distinct.mapInPandas(_shard, kind)
+    # glued words need these shards only where a single word stands in them
+    singles = distinct.where(~F.col("core").contains(" ")).mapInPandas(_single, kind)
+    glued = distinct.where(F.col("core").contains(" ")).mapInPandas(_single, kind)
+    entries = entries.unionByName(singles).unionByName(glued.join(singles.select("shard").distinct(), "shard", "left_semi").select("core", "shard", "text"))
     hot = entries.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
     blocks = hot.select("shard", F.ceil(F.col("n") / block).cast("int").alias("k"))
     placed = entries.join(blocks, "shard", "left").withColumn("k", F.coalesce("k", F.lit(1)))
@@ -178,7 +231,9 @@ def near_cores(cores: DataFrame, most: int = EDITS, block: int = BLOCK) -> DataF
     placed = placed.select("shard", "core", "text", "block", F.explode(partners).alias("other"))
     placed = placed.select("shard", "core", "text", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     ordered = placed.repartition("shard", "i", "j").sortWithinPartitions("shard", "i", "j")
-    return ordered.mapInPandas(_join(most), "a string, b string, distance int").groupBy("a", "b").agg(F.min("distance").alias("distance"))
+    found = ordered.mapInPandas(_join(most), "a string, b string, distance int").groupBy("a", "b").agg(F.min("distance").alias("distance"))
+    single = ~F.col("a").contains(" ") | ~F.col("b").contains(" ")
+    return found.where(~single | (F.col("distance") <= 1) | (F.least(F.length("a"), F.length("b")) >= TWO_EDITS))
 
 
 def same_bearer(a: str, b: str) -> Column:

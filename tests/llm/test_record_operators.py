@@ -194,3 +194,39 @@ def test_frequent_names_still_link_full_addresses(spark):
     left = [("S1-1", "Puyeman Luulekan Bakery", "9 Mavutu Road, Noseville"), ("S1-2", "Puyeman Luulekan Bakery", "8 Mavutu Road, Noseville")]
     a, b = (linkage.described(spark.createDataFrame(rows, SIX), "entity_id", "business_name", "business_address").localCheckpoint() for rows in (left, right))
     assert pairs(linkage.candidate_graph(a, b, rare=5, prune=0.0).select("x", "y")) == {("S1-1", "S2-x")}
+
+
+def test_single_words_up_to_two_edits_apart(spark):
+    """Single-word names, also against glued ones, against all pairs; equal ones link without an address."""
+    rng = random.Random(13)
+
+    def word(n):
+        return "".join(rng.choice("bdgklmnrt") + rng.choice("aeiou") for _ in range(n))[: 2 * n - rng.randrange(2)]
+
+    def hurt(w):
+        for _ in range(2):
+            i = rng.randrange(len(w) - 1)
+            w = rng.choice([w[:i] + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + "z" + w[i + 1 :], w[:i] + "z" + w[i:]])
+        return w
+
+    originals = [word(n) for n in (3, 3, 4, 5, 6, 7, 8) for _ in range(25)]
+    cores = set(originals) | {hurt(w) for w in originals for _ in range(3)} | {" ".join(sorted((w[:6], w[6:]))) for w in originals if len(w) > 11}
+    got = pairs(names.near_cores(spark.createDataFrame([(c,) for c in cores], "core string")).select("a", "b"))
+
+    def forms(c):
+        return {"".join(c.split()), "".join(reversed(c.split()))}
+
+    expected = set()
+    for a in cores:
+        for b in cores:
+            if a < b and " " not in a + b or a < b and (" " in a) != (" " in b):
+                most = 2 if min(len(a), len(b)) >= names.TWO_EDITS else 1
+                if any(edits(x, y, 2) <= most for x in forms(a) for y in forms(b)):
+                    expected.add((a, b))
+    assert expected - got == set()
+    assert {(a, b) for a, b in got if " " not in a + b} == {(a, b) for a, b in expected if " " not in a + b}
+    rows = [("S2-1", "Zenith Textiles"), ("S3-1", "Zenth Textiles"), ("S3-2", "Zenith Hardware")]
+    assert pairs(names.variant_pairs(spark.createDataFrame(rows, "k string, n string"), "k", "n")) == {("S2-1", "S3-1")}
+    left, right = [("S1-1", "Deradu Garaje Dental Care", None)], [("S2-1", "Deradu Garaje Dental Care Co", "5 Mavutu Road, Noseville"), ("S2-2", "Deraud Garaje Dental Care", None)]
+    links = linkage.linked(spark.createDataFrame(left, SIX), spark.createDataFrame(right, SIX), "entity_id", "business_name", "business_address")
+    assert pairs(links.select("left_id", "right_id")) == {("S1-1", "S2-1"), ("S1-1", "S2-2")}
