@@ -30,6 +30,7 @@ from linkwright.llm.confusables import fold_text
 #: Running item words that make a leak, and items held at once.
 LEAST, BLOCK = 12, 20_000
 _DROP = bytes(c for c in range(128) if not chr(c).isalnum())
+_DROP_WORDS = _DROP.replace(b" ", b"")
 _LOWER = bytes(ord(chr(c).lower()) if c < 128 else c for c in range(256))
 
 # What stands between passages without interrupting them; replaced by blanks of the same length.
@@ -40,6 +41,8 @@ NOISE = re.compile(
     re.M,
 )
 _WORD = re.compile(r"\S+")
+# Characters that the consistent form of a composed text leaves as they are.
+_USUAL = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
 # Letters that optical recognition confuses.
 _OCR = (("rn", "m"), ("vv", "w"), ("li", "h"), ("ii", "u"), ("cl", "d"), ("0", "o"), ("1", "l"), ("5", "s"), ("i", "l"), ("c", "e"))
 
@@ -69,6 +72,12 @@ def document_words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
     return words, places
 
 
+def words_alone(text: str) -> list[str]:
+    """The words of ``document_words`` without their offsets."""
+    clean = " ".join(NOISE.sub(" ", text).split())
+    return clean.encode("ascii", "ignore").translate(_LOWER, _DROP_WORDS).decode("ascii").split()
+
+
 def _ocr(word: str) -> str:
     for a, b in _OCR:
         word = word.replace(a, b)
@@ -154,13 +163,16 @@ class Items:
     def __init__(self, rows: list[tuple[int, str]], least: int = LEAST) -> None:
         self.words = {key: words for key, text in rows if len(words := item_words(text or "")) >= least}
         self.least = least
+        self.known = frozenset(w for words in self.words.values() for w in words)
 
-    def starts(self) -> dict[str, tuple[dict[str, list[tuple[int, int]]], ...]]:
+    def starts(self) -> dict[str, tuple[dict[str, list[tuple[int, int, frozenset]]], ...]]:
         """By first word, then by the document word one, two and three places on: every item and place that a passage may start at."""
         out: dict[str, tuple[dict, ...]] = {}
         for key, words in self.words.items():
             for q in range(len(words) - self.least + 1):
-                place = (key, q)
+                # isolated damage leaves three whole words or more after the first, at most four item words apart
+                ahead = words[q + 1 : q + self.least + 1]
+                place = (key, q, frozenset(ahead))
                 for first in (words[q], words[q] + words[q + 1]) if q + 1 < len(words) else (words[q],):
                     near = out.setdefault(first, ({}, {}, {}))
                     for i, j in self.AHEAD:
@@ -172,12 +184,25 @@ class Items:
         """By item, the most running words of it found in a document, if enough, with the first and last document word."""
         best: dict[int, tuple[int, int, int]] = {}
         seen: dict[int, set[tuple[int, int]]] = {}
+        needed = (self.least - 1 + 3) // 4
+        known = self.known
         for start, word in enumerate(words):
             near = starts.get(word)
             if near is None:
                 continue
-            for table, other in zip(near, words[start + 1 : start + 4]):
-                for key, first in table.get(other, ()):
+            after = words[start + 1 : start + self.least + 1]
+            window = None
+            for table, other in zip(near, after):
+                places = table.get(other)
+                if places is None:
+                    continue
+                if window is None:
+                    window = [w for w in after if w in known]
+                if len(window) < needed:
+                    break
+                for key, first, ahead in places:
+                    if sum(map(ahead.__contains__, window)) < needed:
+                        continue
                     met = seen.setdefault(key, set())
                     if (start, first) in met:
                         continue
@@ -196,15 +221,17 @@ def _scan(items: Items, key: str):
                 if not text or not starts:
                     continue
                 text = _composed(text)
-                words, places = document_words(text)
+                words = words_alone(text)
                 found = items.passages(words, starts)
-                rows.extend((item, doc, size, places[first][0], places[last][1]) for item, (size, first, last) in found.items())
-                if not text.isascii() and (folded := fold_lines(text)) != text:
+                if found:
+                    places = document_words(text)[1]
+                    rows.extend((item, doc, size, places[first][0], places[last][1]) for item, (size, first, last) in found.items())
+                if not text.isascii() and (folded := fold_lines(text)) != text and (again := words_alone(folded)) != words:
                     # look-alike letters would break a passage: once more over the consistent form
-                    again, places = document_words(folded)
-                    if again != words:
-                        more = items.passages(again, starts)
-                        rows.extend((item, doc, size, places[first][0], places[last][1]) for item, (size, first, last) in more.items() if item not in found)
+                    more = {item: at for item, at in items.passages(again, starts).items() if item not in found}
+                    if more:
+                        places = document_words(folded)[1]
+                        rows.extend((item, doc, size, places[first][0], places[last][1]) for item, (size, first, last) in more.items())
             yield pd.DataFrame(rows, columns=["item_id", key, "words", "first_char", "end_char"])
 
     return run
@@ -212,7 +239,7 @@ def _scan(items: Items, key: str):
 
 def fold_lines(text: str) -> str:
     """The consistent form with line breaks kept."""
-    return "\n".join(line if line.isascii() else fold_text(line) or "" for line in text.split("\n"))
+    return "\n".join(line if _USUAL.fullmatch(line) else fold_text(line) or "" for line in text.split("\n"))
 
 
 def leaks(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST, block: int = BLOCK) -> DataFrame:
