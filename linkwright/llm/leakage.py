@@ -5,7 +5,8 @@ case, punctuation, markup, cue numbers, times and line breaks do not matter. An
 where a passage may start: an item word, or two glued, left whole, with another of the next words close by, however
 common they are. From each start the document is aligned with the item: item words must follow one another, where
 single words may be damaged, glued or broken in two. A passage counts from ``least`` running item words; its offsets
-are those of the original text. Nothing is chosen by rarity, so no passage that the alignment accepts is missed.
+are those of the original text. Nothing is chosen by rarity; damage that
+is not isolated (two damaged words side by side, or nearly all words glued or broken) may hide a passage.
 
 Items are held by the driver in blocks of ``block`` (a parameter with a proven bound); more items mean more scans of
 the corpus, each against all documents.
