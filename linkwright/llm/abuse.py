@@ -10,7 +10,7 @@ brought to one form: wrong encodings repaired, look-alike letters, accents and c
 apart joined, stretched letters shortened, digits inside words read as letters.
 
 The training sample is bounded: at most ``most_flagged`` flagged and ``most_clean`` clean documents, taken in hash
-order of their ids, go to the driver. Scoring covers every document and every sentence; the model sent to the tasks
+order of their ids while their texts stay within ``most_letters``, go to the driver; every distinct sentence of theirs is learnt. Scoring covers every document and every sentence; the model sent to the tasks
 has a fixed size.
 
 Defined results: null and empty texts score 0; without a flagged or without a clean label every score is 0; documents
@@ -24,11 +24,11 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkwright.llm.confusables import LOOKALIKES, mapping
@@ -36,13 +36,19 @@ from linkwright.llm.confusables import LOOKALIKES, mapping
 CLASSES = ("none", "abuse", "hate", "sexual")
 #: n-gram sizes, hash buckets (a power of two), embedding width.
 SIZES, BUCKETS, WIDTH = (3, 4, 5, 6), 1 << 17, 16
-MOST_FLAGGED, MOST_CLEAN = 1_000, 2_500
-#: Distinct clean sentences in one fit.
-SOME_CLEAN = 8_000
+MOST_FLAGGED, MOST_CLEAN = 1_000, 6_000
+#: Letters of the flagged, and of the clean texts of the sample, in all.
+MOST_LETTERS = 40_000_000
+#: Folds of the documents, rounds of judging, and how often clean sentences taken for harmful are learnt again.
+FOLDS, TURNS, MENDS = 3, 2, 3
+#: Sentences scored at once.
+CHUNK = 20_000
+#: Score from which a document is harmful; models are shifted so that this is their best threshold.
 THRESHOLD = 0.5
 
-_TAGS = re.compile(r"<[^>\n]*>|\{[^}\n]*\}")
-_SPLIT = re.compile(r"[!?।॥:;¡¿♪♫]+(?!\w)|(?<!\.)\.(?=[\s\"”»]|$)|\[[^\]\n]*\]|^[ \t]*[-–—](?=[ \t])", re.M)
+# Format codes of subtitle files; other text in braces or brackets is read like any other.
+_TAGS = re.compile(r"<[^>\n]*>|\{(?:\\[^}\n]*|[A-Za-z]:[^}\n]*|\d*)\}")
+_SPLIT = re.compile(r"[!?।॥:;¡¿♪♫]+(?!\w)|(?<!\.)\.(?=[\s\"”»]|$)|[\[\]{}]|^[ \t]*[-–—](?=[ \t])", re.M)
 _APART = re.compile(r"(?<!\w)(?:\w[ .*_\-·]{1,2}){2,}\w(?!\w)")
 _DOTS = re.compile(r"\.{2,}|…")
 _STRETCH = re.compile(r"([^\W\d_])\1{2,}")
@@ -128,51 +134,77 @@ def hashed(items: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets).astype(np.int64), np.concatenate(owners)
 
 
-@dataclass
+class Grams:
+    """N-grams of sentences, sorted by sentence."""
+
+    def __init__(self, items: list[str], chunk: int = 20_000) -> None:
+        parts, sizes = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for at in range(0, len(items), chunk):
+            some = items[at : at + chunk]
+            buckets, owners = hashed(some)
+            parts.append(buckets[np.argsort(owners, kind="stable")].astype(np.int32))
+            sizes.append(np.bincount(owners, minlength=len(some)))
+        self.buckets = np.concatenate(parts)
+        self.starts = np.cumsum(np.concatenate(sizes))
+
+    def with_more(self, items: list[str]) -> Grams:
+        more, out = Grams(items), object.__new__(Grams)
+        out.buckets = np.concatenate([self.buckets, more.buckets])
+        out.starts = np.concatenate([self.starts, more.starts[1:] + self.starts[-1]])
+        return out
+
+
+@dataclass(frozen=True)
 class Model:
     """Per bucket, what one n-gram adds to each class: embedding times output weights, and the bias."""
 
     table: np.ndarray
     bias: np.ndarray
 
-    def probabilities(self, items: list[str]) -> np.ndarray:
-        if not items:
+    def calibrated(self, threshold: float) -> Model:
+        """The model whose score is ``THRESHOLD`` where it was ``threshold``."""
+        shift = np.zeros_like(self.bias)
+        shift[0] = math.log(threshold / (1 - threshold)) - math.log(THRESHOLD / (1 - THRESHOLD))
+        return Model(self.table, self.bias + shift)
+
+    def probabilities(self, items: list[str] | Grams) -> np.ndarray:
+        grams = items if isinstance(items, Grams) else Grams(items)
+        count = len(grams.starts) - 1
+        if not count:
             return np.zeros((0, len(CLASSES)))
-        buckets, owners = hashed(items)
-        size = np.maximum(np.bincount(owners, minlength=len(items)), 1)
-        sums = np.stack([np.bincount(owners, self.table[buckets, k], len(items)) for k in range(len(CLASSES))], 1)
-        logits = sums / size[:, None] + self.bias
+        sizes = np.diff(grams.starts)
+        # every sentence has an n-gram, as it is padded and longer than one letter
+        sums = np.concatenate([
+            np.add.reduceat(self.table[grams.buckets[grams.starts[at] : grams.starts[to]]], grams.starts[at:to] - grams.starts[at])
+            for at, to in zip(range(0, count, CHUNK), [*range(CHUNK, count, CHUNK), count])
+        ])
+        logits = sums / np.maximum(sizes, 1)[:, None] + self.bias
         logits -= logits.max(1, keepdims=True)
         out = np.exp(logits)
         return out / out.sum(1, keepdims=True)
 
 
-def fit(items: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int = 6, batch: int = 256, rate: float = 0.25, seed: int = 0) -> Model:
-    """Embeddings and softmax trained jointly by Adagrad on weighted sentences."""
+def fit(grams: Grams, labels: np.ndarray, weights: np.ndarray, epochs: int = 6, batch: int = 256, rate: float = 0.25, seed: int = 0, state: tuple | None = None) -> tuple[Model, tuple]:
+    """Embeddings and softmax trained jointly by Adagrad on weighted sentences; ``state`` goes on from an earlier fit."""
     rng = np.random.default_rng(seed)
-    buckets, owners = hashed(items)
-    used, dense = np.unique(buckets, return_inverse=True)
-    order = np.argsort(owners, kind="stable")
-    dense, owners = dense[order], owners[order]
-    starts = np.searchsorted(owners, np.arange(len(items) + 1))
-    count = len(CLASSES)
-    vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (len(used), WIDTH)).astype(np.float32)
-    out = rng.normal(0, 0.3, (WIDTH, count)).astype(np.float32)
-    bias = np.zeros(count, np.float32)
-    g_vectors, g_out, g_bias = np.full(len(used), 1e-6, np.float32), np.full_like(out, 1e-6), np.full_like(bias, 1e-6)
+    dense, starts, count = grams.buckets, grams.starts, len(CLASSES)
+    if state is None:
+        vectors = rng.uniform(-1 / WIDTH, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
+        out = rng.normal(0, 0.3, (WIDTH, count)).astype(np.float32)
+        bias = np.zeros(count, np.float32)
+        g_vectors, g_out, g_bias = np.full(BUCKETS, 1e-6, np.float32), np.full_like(out, 1e-6), np.full_like(bias, 1e-6)
+    else:
+        vectors, out, bias, g_vectors, g_out, g_bias = state
+    members = np.flatnonzero((weights > 0) & (np.diff(starts) > 0))
     for _ in range(epochs):
-        shuffled = rng.permutation(len(items))
-        for at in range(0, len(items), batch):
+        shuffled = rng.permutation(members)
+        for at in range(0, len(shuffled), batch):
             chosen = shuffled[at : at + batch]
             sizes = starts[chosen + 1] - starts[chosen]
-            keep = sizes > 0
-            chosen, sizes = chosen[keep], sizes[keep]
-            if not len(chosen):
-                continue
             offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             index = np.repeat(starts[chosen] - offsets, sizes) + np.arange(sizes.sum())
-            grams = dense[index]
-            hidden = np.add.reduceat(vectors[grams], offsets) / sizes[:, None]
+            own = dense[index]
+            hidden = np.add.reduceat(vectors[own], offsets) / sizes[:, None]
             logits = hidden @ out + bias
             logits -= logits.max(1, keepdims=True)
             p = np.exp(logits)
@@ -180,7 +212,7 @@ def fit(items: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int =
             p[np.arange(len(chosen)), labels[chosen]] -= 1
             p *= (weights[chosen] / max(weights[chosen].sum(), 1e-9))[:, None]
             d_out, d_bias, d_hidden = hidden.T @ p, p.sum(0), (p @ out.T) / sizes[:, None]
-            places, inverse = np.unique(grams, return_inverse=True)
+            places, inverse = np.unique(own, return_inverse=True)
             rows = np.repeat(np.arange(len(chosen)), sizes)
             d_vectors = np.stack([np.bincount(inverse, d_hidden[rows, k], len(places)) for k in range(WIDTH)], 1).astype(np.float32)
             g_vectors[places] += (d_vectors**2).mean(1)
@@ -189,76 +221,126 @@ def fit(items: list[str], labels: np.ndarray, weights: np.ndarray, epochs: int =
             out -= rate * d_out / np.sqrt(g_out)
             g_bias += d_bias**2
             bias -= rate * d_bias / np.sqrt(g_bias)
-    table = np.zeros((BUCKETS, count), np.float32)
-    table[used] = vectors @ out
-    return Model(table, bias)
+    # an n-gram that was never seen says nothing
+    table = np.where((g_vectors > 1e-6)[:, None], vectors @ out, 0).astype(np.float32)
+    return Model(table, bias.copy()), (vectors, out, bias, g_vectors, g_out, g_bias)
 
 
-def train(documents: list[tuple[str, int]], seed: int = 0) -> Model | None:
+def train(documents: list[tuple[str, int]], seed: int = 0, weight_of_clean: float = 1.0) -> Model | None:
     """A model from ``(text, class)`` documents; None where only one kind of label is there.
 
-    Half the documents judge the other half: a sentence of a flagged document keeps its label when a model that has not
-    seen the document finds it harmful too, so a wrongly flagged document teaches nothing.
+    The documents are dealt into folds. Every fold is judged by a member that has not seen it: a sentence of a flagged
+    document keeps its label when that member finds it harmful too, so a wrongly flagged document teaches nothing. All
+    distinct clean sentences are in every fit; those a member still takes for harmful are weighted up and learnt again.
+    The model is the mean of the members' logits, one table again; its threshold is the one that serves the documents
+    best when each is judged by the member that has not seen it. ``weight_of_clean`` says how many clean documents
+    stand behind each of the sample.
     """
     parts = [list(dict.fromkeys(sentences(text))) for text, _ in documents]
-    classes = [label for _, label in documents]
+    classes = np.array([label for _, label in documents])
     seen = [Counter(), Counter()]
     for part, label in zip(parts, classes):
-        seen[label > 0].update(part)
+        seen[int(label > 0)].update(part)
     # a sentence of clean documents is clean; a few labels are wrong, so a rare exception is allowed
-    bags = [([s for s in part if seen[0][s] <= 0.34 * seen[1][s]], label) for part, label in zip(parts, classes) if label]
-    bags = [(bag, label) for bag, label in bags if bag]
+    bags = [[s for s in part if seen[0][s] <= 0.34 * seen[1][s]] if label else [] for part, label in zip(parts, classes)]
     clean = sorted(s for s in seen[0] if seen[0][s] > 0.34 * seen[1][s])
-    if not bags or not clean:
+    if not any(bags) or not clean:
         return None
-    rng = np.random.default_rng(seed)
-    rng.shuffle(clean)
-    negatives = clean[:SOME_CLEAN]
-    chosen = [[(s, label, 1 / len(bag) ** 0.5) for s in bag] for bag, label in bags]
+    fold = np.zeros(len(documents), int)
+    for flagged in (True, False):
+        own = np.flatnonzero((classes > 0) == flagged)
+        fold[own] = np.arange(len(own)) % FOLDS
+    chosen = [[(s, 1 / len(bag) ** 0.5) for s in bag] for bag in bags]
     rest: list[list[str]] = [[] for _ in bags]
-
-    def model_of(which: list[int], turn: int, epochs: int) -> Model:
-        items = [(s, 0, 1 + math.log1p(seen[0][s])) for s in negatives] + [(s, 0, 1.0) for i in which for s in rest[i]]
-        good = [x for i in which for x in chosen[i]]
-        lift = max(1.0, 0.3 * len(items) / max(1e-9, sum(x[2] for x in good))) ** 0.7
-        items += [(s, label, lift * weight) for s, label, weight in good]
-        return fit([x[0] for x in items], np.array([x[1] for x in items]), np.array([x[2] for x in items], np.float32), epochs, seed=seed + turn)
-
-    halves = [list(range(0, len(bags), 2)), list(range(1, len(bags), 2))]
-    for turn in range(2):
-        models = [model_of(half, turn, 3 + turn) for half in halves]
-        for half, judge in ((halves[0], models[1]), (halves[1], models[0])):
-            flat = [s for i in half for s in bags[i][0]]
-            scores, at = 1 - judge.probabilities(flat)[:, 0], 0
-            for i in half:
-                bag, label = bags[i]
-                own = scores[at : at + len(bag)]
-                at += len(bag)
+    index = Grams(clean)
+
+    def member(out: int, turn: int, epochs: int) -> Model | None:
+        """A model that has not seen the documents of one fold."""
+        inside = [i for i in range(len(documents)) if fold[i] != out]
+        counts = Counter(s for i in inside if not classes[i] for s in parts[i])
+        weights = np.array([1 + math.log1p(counts[s]) if s in counts else 0.0 for s in clean])
+        good = [(s, int(classes[i]), weight) for i in inside for s, weight in chosen[i]]
+        others = [s for i in inside for s in rest[i]]
+        if not good or not weights.any():
+            return None
+        lift = max(1.0, 0.3 * (weights.astype(bool).sum() + len(others)) / max(1e-9, sum(x[2] for x in good))) ** 0.7
+        data = index.with_more([x[0] for x in good] + others)
+        labels = np.array([0] * len(clean) + [x[1] for x in good] + [0] * len(others))
+        weights = np.concatenate([weights, [lift * x[2] for x in good], np.ones(len(others))]).astype(np.float32)
+        state = None
+        for again in range(1 + (turn == TURNS) * MENDS):
+            model, state = fit(data, labels, weights, epochs if not again else 2, seed=seed + 10 * turn + out, state=state)
+            if turn == TURNS:
+                wrong = (labels == 0) & (weights > 0) & (1 - model.probabilities(data)[:, 0] >= 0.2)
+                if not wrong.any():
+                    break
+                weights[wrong] *= 3
+        return model
+
+    members: list[Model | None] = []
+    for turn in range(TURNS + 1):
+        members = [member(k, turn, 5 if turn == TURNS else 2 + turn) for k in range(FOLDS)]
+        if turn == TURNS:
+            break
+        for i, bag in enumerate(bags):
+            judge = members[fold[i]]
+            if bag and judge is not None:
+                own = 1 - judge.probabilities(bag)[:, 0]
                 bar = max(0.5 if turn else 0.3, 0.7 * own.max())
-                chosen[i] = [(s, label, 1.0) for s, x in zip(bag, own) if x >= bar]
+                chosen[i] = [(s, 1.0) for s, x in zip(bag, own) if x >= bar]
                 rest[i] = [s for s, x in zip(bag, own) if x < min(bar, 0.3)]
-        # the clean sentences that look most harmful teach most
-        doubt = np.zeros(len(clean))
-        for model in models:
-            doubt = np.maximum(doubt, 1 - model.probabilities(clean)[:, 0])
-        order = np.argsort(-doubt, kind="stable")[: SOME_CLEAN // 2]
-        negatives = sorted({*(clean[i] for i in order), *clean[: SOME_CLEAN // 2]})
-    if not any(chosen):
+    known = [m for m in members if m is not None]
+    if not known:
         return None
-    return model_of(list(range(len(bags))), 2, 8)
-
-
-def labelled(documents: DataFrame, labels: DataFrame, most_flagged: int = MOST_FLAGGED, most_clean: int = MOST_CLEAN) -> list[tuple[str, int]]:
-    """The bounded training sample: texts with the class that most of their reviews give."""
+    model = Model(np.mean([m.table for m in known], 0, dtype=np.float32), np.mean([m.bias for m in known], 0, dtype=np.float32))
+    unseen = np.zeros(len(documents))
+    for i, part in enumerate(parts):
+        judge = members[fold[i]]
+        if part and judge is not None:
+            unseen[i] = (1 - judge.probabilities(part)[:, 0]).max()
+    return model.calibrated(best_threshold(unseen, classes > 0, weight_of_clean))
+
+
+def best_threshold(scores: np.ndarray, flagged: np.ndarray, weight_of_clean: float) -> float:
+    """The threshold of the best F-score of documents against their labels, in the middle of the gap below it."""
+    order = np.argsort(-scores, kind="stable")
+    s, hit = scores[order], flagged[order]
+    true, false = np.cumsum(hit), np.cumsum(~hit) * weight_of_clean
+    value = 1.25 * true / np.maximum(true + false + 0.25 * hit.sum(), 1e-9)
+    value[np.append(s[1:] == s[:-1], False)] = -1
+    value[s <= 0] = -1
+    at = int(np.argmax(value))
+    if value[at] <= 0:
+        return THRESHOLD
+    below = s[at + 1] if at + 1 < len(s) else 0.0
+    return float(np.clip((s[at] + below) / 2, 0.05, 0.95))
+
+
+def labelled(
+    documents: DataFrame, labels: DataFrame, most_flagged: int = MOST_FLAGGED, most_clean: int = MOST_CLEAN, most_letters: int = MOST_LETTERS
+) -> tuple[list[tuple[str, int]], float]:
+    """The bounded training sample: texts with the class that most of their reviews give; and how many labelled clean
+    documents stand behind each of the sample, where a flagged one stands for one."""
     votes = labels.groupBy("doc_id").agg(
         F.sum(F.when(F.col("flagged") == 1, 1).otherwise(-1)).alias("vote"), F.min(F.when(F.col("flagged") == 1, F.col("category"))).alias("category")
     )
-    flagged, order = votes.where("vote > 0"), F.xxhash64("doc_id")
-    clean = votes.where("vote < 0")
-    some = flagged.orderBy(order, "doc_id").limit(most_flagged).unionByName(clean.orderBy(order, "doc_id").limit(most_clean))
+    sized = votes.where("vote <> 0").join(documents.select("doc_id", F.length("text").alias("letters")), "doc_id")
+    totals = sized.agg(F.count_if(F.col("vote") > 0).alias("flagged"), F.count_if(F.col("vote") < 0).alias("clean")).first()
+    some = reduce(
+        DataFrame.unionByName,
+        [
+            # the running total is over the bounded rows alone
+            sized.where(sign).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).withColumn("total", F.sum("letters").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))).where(F.col("total") <= most_letters)
+            for sign, most in (("vote > 0", most_flagged), ("vote < 0", most_clean))
+        ],
+    ).select("doc_id", "vote", "category")
     rows = documents.join(F.broadcast(some), "doc_id").select("doc_id", "text", "vote", "category").orderBy("doc_id").collect()
     at = {name: i for i, name in enumerate(CLASSES)}
-    return [(r.text or "", at.get(r.category, 1) if r.vote > 0 else 0) for r in rows]
+    sample = [(r.text or "", at.get(r.category, 1) if r.vote > 0 else 0) for r in rows]
+    flagged = sum(label > 0 for _, label in sample)
+    if not flagged or flagged == len(sample):
+        return sample, 1.0
+    return sample, totals["clean"] / (len(sample) - flagged) * flagged / totals["flagged"]
 
 
 def _score(model: Model | None, key: str):
@@ -291,7 +373,8 @@ def _score(model: Model | None, key: str):
 def scores(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(<key>, score, abuse, hate, sexual)`` for every document, by its worst sentence."""
     source = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    model = train(labelled(source, labels))
+    sample, weight = labelled(source, labels)
+    model = train(sample, weight_of_clean=weight)
     kind = dict(documents.dtypes)[key]
     rows = documents.select(key, F.col(text).alias("text"))
     return rows.mapInPandas(_score(model, key), f"{key} {kind}, score double, abuse double, hate double, sexual double")

@@ -128,7 +128,40 @@ def test_held_out_documents():
     assert score("1\n00:00:01,000 --> 00:00:02,000\nget lost, you...\n\n2\n00:00:03,000 --> 00:00:04,000\nf.i.l.t.h.y bаstаrd!\n") >= 0.5
 
 
+def precision_and_recall(documents, seed, tests):
+    model = abuse.train(documents, seed)
+    hits = [max(1 - model.probabilities(abuse.sentences(t))[:, 0], default=0) >= 0.5 for t, _ in tests]
+    right = sum(h and y for h, (_, y) in zip(hits, tests))
+    return right / max(1, sum(hits)), right / sum(y for _, y in tests)
+
+
+def test_more_labels_never_cost_precision():
+    # every tenth label is wrong, and half of those on flagged documents; test texts are four times as long
+    rng = random.Random(5)
+    documents = [(corpus(rng, i % 12 == 0), int(i % 12 == 0 or i % 12 == 1)) for i in range(1500)]
+    tests = [(corpus(rng, i % 8 == 0, 32), i % 8 == 0) for i in range(400)]
+    for seed in range(5):
+        few, many = (precision_and_recall(documents[:n], seed, tests) for n in (150, 1500))
+        assert many[0] >= max(0.95, few[0] - 0.02) and many[1] >= 0.95, (seed, few, many)
+
+
+def test_best_threshold():
+    scores, flagged = np.array([0.9, 0.8, 0.7, 0.3, 0.2, 0.1]), np.array([True, True, False, False, True, False])
+    assert 0.7 < abuse.best_threshold(scores, flagged, 1.0) < 0.8
+    assert abuse.best_threshold(np.zeros(3), np.array([True, False, False]), 1.0) == 0.5
+    assert abuse.best_threshold(scores, np.zeros(6, bool), 1.0) == 0.5
+
+
+def test_sample_is_bounded(spark):
+    documents = spark.createDataFrame([(i, "x" * 10) for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 10), None, "r") for i in range(50)], "doc_id long, flagged int, category string, reviewer string")
+    sample, weight = abuse.labelled(documents, labels, most_flagged=5, most_clean=40, most_letters=200)
+    assert [sum(label > 0 for _, label in sample), len(sample)] == [5, 25] and weight == 1.0
+    assert abuse.labelled(documents, labels.where("flagged = 0")) [1] == 1.0
+
+
 def test_sentence_forms():
+    assert abuse.sentences("{\\an8}get out[you rat] {y:i}go {really bad}{12}{34}so") == ["get out", "you rat", "go", "really bad", "so"]
     assert abuse.sentences("1\n00:00:01,000 --> 00:00:02,000\n<i>F.u.c.k you,</i>\nJessop. i d i o t!\n") == ["fuck you jessop", "idiot"]
     assert abuse.sentences("raaaats sh1t fuсk") == ["rats shit fuck"]
     assert abuse.sentences("Ã‰coute-moi") == ["ecoute moi"]
