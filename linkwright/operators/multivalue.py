@@ -4,8 +4,9 @@ Dictionary-guided segmentation. A multi-pattern automaton finds known whole valu
 programming picks the cheapest cover of the field by known values, quoted or escaped text, delimiters, wrappers and
 free text. Delimiters inside a quoted, escaped or known value belong to that value.
 
-The dictionary may be of any size: it is never broadcast. Spans between delimiters are matched against it by an equi
-join on the span, and each Arrow batch builds one automaton from the values known to occur in its own rows.
+The dictionary may be of any size: it is never broadcast. Its values meet the fields that hold them by an equi join on
+the rarest two neighbouring words of each value, whatever delimiters stand inside, and each Arrow batch builds one
+automaton from the values known to occur in its own rows.
 
 Defined results: null, empty and blank fields and placeholders give no value; an empty place is no value; a repeated
 value keeps every position; input columns other than the key and the field are ignored.
@@ -17,7 +18,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Characters that separate values, and the words that do.
@@ -164,23 +165,42 @@ def _segment_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"text": batch["text"], "values": [segment(t, ready) for t in batch["text"]]})
 
 
-def split_packed(frame: DataFrame, key: str, field: str, dictionary: DataFrame, value: str, max_parts: int = 3) -> DataFrame:
+#: Letters and digits that belong together; a known value begins and ends at the ends of such runs.
+_RUNS = r"([\p{L}\p{N}]+)"
+
+
+def _anchors(text: Column) -> Column:
+    """What a text may be looked up by: each two neighbouring runs of letters and digits, and each single run."""
+    runs = F.regexp_extract_all(text, F.lit(_RUNS), 1)
+    pairs = F.zip_with(F.slice(runs, 1, F.greatest(F.size(runs) - 1, F.lit(0))), F.slice(runs, 2, F.greatest(F.size(runs) - 1, F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.array_distinct(F.concat(pairs, runs))
+
+
+def known_values(texts: DataFrame, dictionary: DataFrame, value: str) -> DataFrame:
+    """``(text, known)``: the dictionary values that occur in each text, whatever delimiters they hold.
+
+    A value is looked up by the rarest two neighbouring runs of its letters and digits (by its only run where it has
+    one), so a common first word gathers nothing; what meets is compared whole before it is kept.
+    """
+    values = dictionary.select(F.col(value).alias("value")).where(F.col("value").rlike(_RUNS)).distinct()
+    several = F.size(F.regexp_extract_all("value", F.lit(_RUNS), 1)) > 1
+    keyed = values.select("value", F.explode(F.filter(_anchors(F.col("value")), lambda x: ~several | x.contains(" "))).alias("anchor"))
+    counts = keyed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    rarest = keyed.join(counts, "anchor").groupBy("value").agg(F.min(F.struct("n", "anchor"))["anchor"].alias("anchor"))
+    places = texts.select("text", F.explode(_anchors(F.col("text"))).alias("anchor"))
+    met = places.join(rarest, "anchor").where(F.col("text").contains(F.col("value")))
+    return met.groupBy("text").agg(F.collect_set("value").alias("known"))
+
+
+def split_packed(frame: DataFrame, key: str, field: str, dictionary: DataFrame, value: str) -> DataFrame:
     """One row per value: ``key``, ``value_pos`` (from 1, left to right), ``matched_value`` and ``value_count``.
 
-    ``dictionary[value]`` holds known whole values; those with at most ``max_parts - 1`` delimiters inside are found.
-    Rows of the result repeat as rows of ``frame`` do.
+    ``dictionary[value]`` holds known whole values, with any delimiters inside; they are found as written. Rows of the
+    result repeat as rows of ``frame`` do.
     """
     rows = frame.select(F.col(key).alias("key"), F.col(field).alias("text")).where(F.trim("text") != "")
     texts = rows.select("text").distinct()
-    pieces = F.regexp_extract_all("text", F.lit(r"([^,;|/:·•、，；｜&+\s\"'()\[\]{}<>]*[^,;|/:·•、，；｜&+\s\"'()\[\]{}<>.])"), 1)
-    single = texts.select("text", F.explode(pieces).alias("span"))
-    spans = single
-    if max_parts > 1:
-        # spans over several pieces keep the delimiters between them as written
-        several = texts.select("text", F.explode(F.regexp_extract_all("text", F.lit(r"([^,;|\n\t\"\[\]]+)"), 1)).alias("span"))
-        spans = single.unionByName(several.select("text", F.trim("span").alias("span")).where(F.size(F.split("span", r"[\s/:&+]+")).between(2, max_parts)))
-    values = dictionary.select(F.col(value).alias("span")).where(F.col("span").isNotNull()).distinct()
-    known = spans.distinct().join(values, "span", "left_semi").groupBy("text").agg(F.collect_set("span").alias("known"))
+    known = known_values(texts, dictionary, value)
     ready = texts.join(known, "text", "left").select("text", F.coalesce("known", F.array().cast("array<string>")).alias("known"))
     parsed = ready.mapInPandas(_segment_batches, "text string, values array<string>")
     out = rows.join(parsed, "text").select("key", F.size("values").alias("value_count"), F.posexplode("values").alias("value_pos", "matched_value"))

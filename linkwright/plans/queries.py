@@ -107,6 +107,19 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return several.select(F.regexp_replace(ENTITY, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "").alias(ENTITY), "value_pos", "matched_value").distinct()
 
 
+#: Addresses that no rule of free text reads in another way; most hold commas.
+LISTED = r"^[A-Za-z0-9][A-Za-z0-9 ,./#-]*[A-Za-z0-9]$"
+
+
+def packed_addresses(spark: SparkSession, folder: str) -> DataFrame:
+    """Addresses of ten neighbouring records packed in one field, and taken apart with the addresses as dictionary."""
+    rows = table(spark, folder, "train_source2").select("entity_id", "business_address").distinct().where(F.col("business_address").rlike(LISTED) & F.col("business_address").rlike("[0-9]"))
+    rows = rows.withColumn("pack", F.substring("entity_id", 1, 11))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("entity_id", "business_address"))), lambda x: x["business_address"])
+    packed = rows.groupBy("pack").agg(F.array_join(ordered, "; ").alias("field"))
+    return multivalue.split_packed(packed, "pack", "field", rows, "business_address").select("pack", "value_pos", "matched_value")
+
+
 def token_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     value = T.jaccard(T.tokens("q_name_punct"), T.tokens("c_name_punct"), 1.0)
     return linked(spark, folder).select(ENTITY, TARGET, F.round(value, 6).alias("name_jaccard"))
@@ -265,6 +278,7 @@ def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "p3_found": p3_found,
+        "packed_addresses": packed_addresses,
         "normalize_basic": view_query(lambda: ["name_norm", "address_norm"]),
         "normalize_punct": view_query(lambda: ["name_punct", "address_punct"]),
         "tokenize": view_query(lambda: [F.array_join(T.tokens("name_punct"), " ").alias("name_tokens")]),

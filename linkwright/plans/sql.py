@@ -211,6 +211,8 @@ def oracle_sql() -> dict[str, str]:
         return f"round(CASE WHEN {most} = 0 THEN 1.0 ELSE least(length(a.{x}), length(b.{x})) * 1.0 / greatest({most}, 1) END, {digits})"
 
     out = {
+        "packed_addresses": """SELECT substring(entity_id, 1, 11) AS pack, CAST(row_number() OVER (PARTITION BY substring(entity_id, 1, 11) ORDER BY entity_id, business_address) AS INTEGER) AS value_pos, business_address AS matched_value
+FROM (SELECT DISTINCT entity_id, business_address FROM train_source2 WHERE regexp_full_match(business_address, '[A-Za-z0-9][A-Za-z0-9 ,./#-]*[A-Za-z0-9]') AND regexp_matches(business_address, '[0-9]'))""",
         "normalize_basic": _record("name_norm", "address_norm"),
         "normalize_punct": _record("name_punct", "address_punct"),
         "tokenize": _record(f"array_to_string({tokens('name_punct')}, ' ') AS name_tokens"),

@@ -2,7 +2,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linkwright.operators.multivalue import segment, split_packed
+from linkwright.operators.multivalue import known_values, segment, split_packed
 
 
 def automaton(*values):
@@ -23,7 +23,7 @@ IDS = automaton("S2-1", "S2-2", "S3-3")
     [
         ("", []), (" ", []), ("-", []), ("[]", []), ("none", []), (",;|", []), ("S2-1", ["S2-1"]), ("S2-1,,S2-2,", ["S2-1", "S2-2"]), ("S2-1 S2-2", ["S2-1", "S2-2"]),
         ("S2-1 and S2-2 & S3-3", ["S2-1", "S2-2", "S3-3"]), ("['S2-1', \"S2-2\"]", ["S2-1", "S2-2"]), ("S2-1,S2-1", ["S2-1", "S2-1"]), ('"S2-1;S2-2"', ["S2-1", "S2-2"]),
-        ('"S2-1, ""Foo Traders, Town; ref 7"""', ["S2-1", "Foo Traders, Town; ref 7"]), ("S2-1,Foo Bar\\, Town\; ref 4", ["S2-1", "Foo Bar, Town; ref 4"]),
+        ('"S2-1, ""Foo Traders, Town; ref 7"""', ["S2-1", "Foo Traders, Town; ref 7"]), (r"S2-1,Foo Bar\, Town\; ref 4", ["S2-1", "Foo Bar, Town; ref 4"]),
         ('<S3-3,,"A, B and C">', ["S3-3", "A, B and C"]), ("S2-1、S2-2.", ["S2-1", "S2-2"]), ("S2-1\n\"Joe's, Town\"", ["S2-1", "Joe's, Town"]), ("S2-10,S2-1", ["S2-10", "S2-1"]),
         ('"unclosed, S2-1', ['"unclosed', "S2-1"]),
     ],
@@ -56,3 +56,29 @@ def test_rows(spark):
     ]
     assert split_packed(frame.limit(0), "k", "f", known, "id").isEmpty()
     assert split_packed(frame, "k", "f", known.limit(0), "id").where("k = 'a'").count() == 4
+
+
+@pytest.mark.parametrize("name", ["Foo, Bar Ltd", "A/B/C/D Works", "Smith; Jones | Co", "One\tTwo, Three; Four | Five/Six & Seven", "The Old Mill, The Old Barn", "C++", "R & D", "(new) Shop, Town"])
+def test_dictionary_values_keep_their_delimiters(spark, name):
+    fields = [("a", f"S2-1, {name}; S2-2"), ("b", name), ("c", f"[{name}|{name}]"), ("d", name.split(" ")[0]), ("e", f"x{name}")]
+    known = spark.createDataFrame([("S2-1",), ("S2-2",), (name,), ("The Old Mill",), ("The Old",), ("",), (",;",), (None,)], "id string")
+    out = split_packed(spark.createDataFrame(fields, "k string, f string"), "k", "f", known, "id").collect()
+    values = {k: [r["matched_value"] for r in sorted(out, key=lambda r: r["value_pos"]) if r["k"] == k] for k, _ in fields}
+    assert values["a"] == ["S2-1", name, "S2-2"] and values["b"] == [name] and values["c"] == [name, name]
+    assert name not in values["d"] or " " not in name
+    assert name not in values["e"] or not name[0].isalnum()
+
+
+def test_known_values_against_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("ab1é", k=rng.randint(1, 2)))
+    text = lambda n: "".join(word() + rng.choice([" ", ",", "; ", "/", "|", "-", ". "]) for _ in range(n)) + word()
+    known = {text(rng.randint(0, 3)) for _ in range(150)}
+    fields = {text(rng.randint(0, 8)) for _ in range(150)}
+    found = known_values(spark.createDataFrame([(f,) for f in fields], "text string"), spark.createDataFrame([(k,) for k in known], "v string"), "v").collect()
+    got = {r["text"]: set(r["known"]) for r in found}
+    for field in fields:
+        whole = {k for k in known if any((i == 0 or not field[i - 1].isalnum()) and (i + len(k) == len(field) or not field[i + len(k)].isalnum()) for i in range(len(field)) if field.startswith(k, i))}
+        assert whole <= got.get(field, set()), field
