@@ -1,12 +1,14 @@
 """Evaluation texts leaking into training text.
 
-Each document is scanned once, as its words in ASCII letters and digits without what may stand between passages, so
-case, punctuation, markup, cue numbers, times and line breaks do not matter. An index of all items holds every place
-where a passage may start: an item word, or two glued, left whole, with another of the next words close by, however
-common they are. From each start the document is aligned with the item: item words must follow one another, where
-single words may be damaged, glued or broken in two. A passage counts from ``least`` running item words; its offsets
-are those of the original text. Nothing is chosen by rarity; damage that
-is not isolated (two damaged words side by side, or nearly all words glued or broken) may hide a passage.
+Each document is scanned once by one Aho-Corasick automaton, as its words in letters and digits without what may stand
+between passages, so case, punctuation, markup, cue numbers, times and line breaks do not matter. The automaton holds
+every two neighbouring words of every item, however common, apart and glued. Where three of them that one item holds
+stand close to each other, the document is aligned with the item in both directions: item words must follow one
+another, where single words may be damaged, glued or broken in two. A passage counts from ``least`` running item words;
+its offsets are those of the original text. Nothing is chosen by rarity; damage that is not isolated (fewer than three
+whole pairs of neighbouring words in a passage) may hide a passage.
+
+Letters with accents, and what wrong encodings make of them, vanish on both sides; letters of other scripts stay.
 
 Items are held by the driver in blocks of ``block`` (a parameter with a proven bound); more items mean more scans of
 the corpus, each against all documents.
@@ -19,8 +21,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -42,14 +46,21 @@ NOISE = re.compile(
     re.M,
 )
 _WORD = re.compile(r"\S+")
+# Letters beyond the Latin ones; what is neither such a letter nor a plain letter, digit or blank.
+_OTHER_LETTERS = re.compile(r"[\u0370-\u1dff\u2c00-\u2dff\u3040-\ud7ff\uf900-\ufaff\U00010000-\U0001efff]")
+_DROP_OTHER = re.compile(r"[^\w\s]|[_\x80-\u036f]|[\u1e00-\u2bff]")
 # Characters that the consistent form of a composed text leaves as they are.
 _USUAL = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
+# A text without any other character than these has no look-alikes.
+_ODD = re.compile(r"[^\x00-\x7f\xa1-\xff\u0900-\u097fŒœ‘’“”–—…♪♫।]")
 # Letters that optical recognition confuses.
 _OCR = (("rn", "m"), ("vv", "w"), ("li", "h"), ("ii", "u"), ("cl", "d"), ("0", "o"), ("1", "l"), ("5", "s"), ("i", "l"), ("c", "e"))
 
 
 def reduced(text: str) -> str:
-    """ASCII letters and digits of a text, in lower case; anything else, wrong encodings included, vanishes."""
+    """Letters and digits of a text, in lower case; accented letters and wrong encodings of them vanish."""
+    if _OTHER_LETTERS.search(text):
+        return "".join(_DROP_OTHER.sub("", text.lower()).split())
     return text.encode("ascii", "ignore").translate(_LOWER, _DROP).decode("ascii")
 
 
@@ -65,7 +76,7 @@ def document_words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
     """Words of a document without what does not interrupt a passage, with their offsets."""
     clean = NOISE.sub(lambda m: " " * (m.end() - m.start()), text)
     words, places = [], []
-    for m in _WORD.finditer(clean.replace("\xa0", " ")):
+    for m in _WORD.finditer(clean):
         word = reduced(m.group())
         if word:
             words.append(word)
@@ -75,8 +86,10 @@ def document_words(text: str) -> tuple[list[str], list[tuple[int, int]]]:
 
 def words_alone(text: str) -> list[str]:
     """The words of ``document_words`` without their offsets."""
-    clean = " ".join(NOISE.sub(" ", text).split())
-    return clean.encode("ascii", "ignore").translate(_LOWER, _DROP_WORDS).decode("ascii").split()
+    clean = NOISE.sub(" ", text)
+    if _OTHER_LETTERS.search(clean):
+        return [w for x in clean.split() if (w := reduced(x))]
+    return " ".join(clean.split()).encode("ascii", "ignore").translate(_LOWER, _DROP_WORDS).decode("ascii").split()
 
 
 def _ocr(word: str) -> str:
@@ -118,118 +131,143 @@ def damaged(word: str, true: str) -> bool:
     return edits(word, true, most) <= most
 
 
-def extended(words: list[str], item: list[str], start: int, first: int, seen: set[tuple[int, int]]) -> tuple[int, int]:
-    """Item words that follow one another from a document word and an item word on, and the last document word."""
+def extended(words: list[str], item: list[str], start: int, first: int, seen: set[tuple[int, int]], step: int = 1) -> tuple[int, int]:
+    """Item words that follow one another from a document word and an item word on, and the last document word.
+
+    With ``step`` -1 they follow one another backwards.
+    """
     n, m = len(words), len(item)
-    p, q, last_q, last_p, gap = start, first, first, start, 0
-    while p < n and q < m:
-        if words[p] == item[q]:
+
+    def word(p: int) -> str | None:
+        return words[p] if 0 <= p < n else None
+
+    def true(q: int) -> str | None:
+        return item[q] if 0 <= q < m else None
+
+    def joined(*parts: str | None) -> str | None:
+        return None if None in parts else "".join(parts if step > 0 else parts[::-1])
+
+    p, q, last_p, last_q, gap = start, first, start - step, first - step, 0
+    while (here := word(p)) is not None and (wanted := true(q)) is not None:
+        if here == wanted:
             seen.add((p, q))
             last_p, last_q, gap = p, q, 0
-            p, q = p + 1, q + 1
+            p, q = p + step, q + step
             continue
-        glued = 0
-        if words[p].startswith(item[q]):
-            glued = next((k for k in (2, 3) if q + k <= m and words[p] == "".join(item[q : q + k])), 0)
-        if glued:
-            last_p, last_q, gap = p, q + glued - 1, 0
-            p, q = p + 1, q + glued
+        two = joined(wanted, true(q + step))
+        if here == two:
+            last_p, last_q, gap = p, q + step, 0
+            p, q = p + step, q + 2 * step
             continue
-        if p + 1 < n and words[p] + words[p + 1] == item[q]:
-            last_p, last_q, gap = p + 1, q, 0
-            p, q = p + 2, q + 1
+        if two is not None and here == joined(wanted, true(q + step), true(q + 2 * step)):
+            last_p, last_q, gap = p, q + 2 * step, 0
+            p, q = p + step, q + 3 * step
             continue
-        if gap >= 1 and not (p + 1 < n and q + 1 < m and words[p + 1] == item[q + 1]):
-            break
-        if gap >= 2:
+        broken = joined(here, word(p + step))
+        if broken == wanted:
+            last_p, last_q, gap = p + step, q, 0
+            p, q = p + 2 * step, q + step
+            continue
+        if gap >= 2 or gap == 1 and not (word(p + step) is not None and word(p + step) == true(q + step)):
             break
-        if damaged(words[p], item[q]):
-            gap, p, q = gap + 1, p + 1, q + 1
-        elif q + 1 < m and damaged(words[p], item[q] + item[q + 1]):
-            gap, p, q = gap + 1, p + 1, q + 2
-        elif p + 1 < n and damaged(words[p] + words[p + 1], item[q]):
-            gap, p, q = gap + 1, p + 2, q + 1
+        if damaged(here, wanted):
+            gap, p, q = gap + 1, p + step, q + step
+        elif two is not None and damaged(here, two):
+            gap, p, q = gap + 1, p + step, q + 2 * step
+        elif broken is not None and damaged(broken, wanted):
+            gap, p, q = gap + 1, p + 2 * step, q + step
         else:
             break
-    return last_q - first + 1, last_p
+    return (last_q - first) * step + 1, last_p
 
 
 class Items:
-    """Items of one block. A passage starts at an item word, or two glued, left whole, with another one close by."""
-
-    #: Steps in the document and in the item from the first word of a passage to the next one left whole: what stands
-    #: between may be damaged, glued from two or three words, or broken in two.
-    AHEAD = ((1, 1), (2, 2), (1, 2), (2, 1), (1, 3), (2, 3), (2, 4), (3, 2))
+    """Items of one block, and the automaton of every two neighbouring words of theirs."""
 
     def __init__(self, rows: list[tuple[int, str]], least: int = LEAST) -> None:
-        self.words = {key: words for key, text in rows if len(words := item_words(text or "")) >= least}
-        self.least = least
-        self.known = frozenset(w for words in self.words.values() for w in words)
-
-    def starts(self) -> dict[str, tuple[dict[str, list[tuple[int, int, frozenset]]], ...]]:
-        """By first word, then by the document word one, two and three places on: every item and place that a passage may start at."""
-        out: dict[str, tuple[dict, ...]] = {}
-        for key, words in self.words.items():
-            for q in range(len(words) - self.least + 1):
-                # isolated damage leaves three whole words or more after the first, at most four item words apart
-                ahead = words[q + 1 : q + self.least + 1]
-                place = (key, q, frozenset(ahead))
-                for first in (words[q], words[q] + words[q + 1]) if q + 1 < len(words) else (words[q],):
-                    near = out.setdefault(first, ({}, {}, {}))
-                    for i, j in self.AHEAD:
-                        if q + j < len(words):
-                            near[i - 1].setdefault(words[q + j], []).append(place)
+        known = {key: words for key, text in rows if len(words := item_words(text or "")) >= least}
+        self.keys, self.words, self.least = list(known), list(known.values()), least
+
+    def automaton(self):
+        """The automaton, whose hits are ``(letters before the last blank, item set, {item: places})``.
+
+        An item set is an integer with the bit of every item.
+        """
+        import ahocorasick
+
+        places: dict[str, dict[int, list[int]]] = {}
+        for item, words in enumerate(self.words):
+            for q in range(len(words) - 1):
+                for pattern in (f" {words[q]} {words[q + 1]} ", f" {words[q]}{words[q + 1]} "):
+                    places.setdefault(pattern, {}).setdefault(item, []).append(q)
+        if not places:
+            return None
+        out = ahocorasick.Automaton()
+        for pattern, own in places.items():
+            items = 0
+            for item in own:
+                items |= 1 << item
+            out.add_word(pattern, (len(pattern) - 1, items, own))
+        out.make_automaton()
         return out
 
-    def passages(self, words: list[str], starts: dict) -> dict[int, tuple[int, int, int]]:
+    def passages(self, words: list[str], automaton) -> dict[int, tuple[int, int, int]]:
         """By item, the most running words of it found in a document, if enough, with the first and last document word."""
         best: dict[int, tuple[int, int, int]] = {}
+        if automaton is None or len(words) < 2:
+            return best
+        hits = list(automaton.iter(f" {' '.join(words)} "))
+        once = twice = thrice = 0
+        for _, (_, items, _) in hits:
+            thrice |= twice & items
+            twice |= once & items
+            once |= items
+        if not thrice:
+            return best
+        starts = list(accumulate((len(w) + 1 for w in words), initial=0))
+        at = [bisect_right(starts, end - size) - 1 for end, (size, _, _) in hits]
         seen: dict[int, set[tuple[int, int]]] = {}
-        needed = (self.least - 1 + 3) // 4
-        known = self.known
-        for start, word in enumerate(words):
-            near = starts.get(word)
-            if near is None:
-                continue
-            after = words[start + 1 : start + self.least + 1]
-            window = None
-            for table, other in zip(near, after):
-                places = table.get(other)
-                if places is None:
-                    continue
-                if window is None:
-                    window = [w for w in after if w in known]
-                if len(window) < needed:
+        for i, (_, (_, items, own)) in enumerate(hits):
+            p, one, two = at[i], 0, 0
+            # the first whole pair of a passage has two more after it, not farther than its words, some broken in two
+            for j in range(i + 1, len(hits)):
+                if at[j] > p + self.least + 2:
                     break
-                for key, first, ahead in places:
-                    if sum(map(ahead.__contains__, window)) < needed:
-                        continue
-                    met = seen.setdefault(key, set())
-                    if (start, first) in met:
+                two |= one & hits[j][1][1]
+                one |= hits[j][1][1]
+            both = items & two
+            while both:
+                item = (both & -both).bit_length() - 1
+                both &= both - 1
+                met = seen.setdefault(item, set())
+                for q in own[item]:
+                    if (p, q) in met:
                         continue
-                    size, last = extended(words, self.words[key], start, first, met)
-                    if size >= self.least and size > best.get(key, (0,))[0]:
-                        best[key] = (size, start, last)
-        return best
+                    after, last = extended(words, self.words[item], p, q, met)
+                    before, first = extended(words, self.words[item], p - 1, q - 1, met, -1)
+                    size = after + before
+                    if size >= self.least and size > best.get(item, (0,))[0]:
+                        best[item] = (size, first, last)
+        return {self.keys[item]: found for item, found in best.items()}
 
 
 def _scan(items: Items, key: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        starts = items.starts()
+        automaton = items.automaton()
         for batch in batches:
             rows = []
             for doc, text in zip(batch[key], batch["text"]):
-                if not text or not starts:
+                if not text or automaton is None:
                     continue
                 text = _composed(text)
                 words = words_alone(text)
-                found = items.passages(words, starts)
+                found = items.passages(words, automaton)
                 if found:
                     places = document_words(text)[1]
                     rows.extend((item, doc, size, places[first][0], places[last][1]) for item, (size, first, last) in found.items())
-                if not text.isascii() and (folded := fold_lines(text)) != text and (again := words_alone(folded)) != words:
+                if _ODD.search(text) and (folded := fold_lines(text)) != text and (again := words_alone(folded)) != words:
                     # look-alike letters would break a passage: once more over the consistent form
-                    more = {item: at for item, at in items.passages(again, starts).items() if item not in found}
+                    more = {item: at for item, at in items.passages(again, automaton).items() if item not in found}
                     if more:
                         places = document_words(folded)[1]
                         rows.extend((item, doc, size, places[first][0], places[last][1]) for item, (size, first, last) in more.items())

@@ -94,6 +94,27 @@ def test_common_wording_leaks_in_every_window(spark):
     assert [documents[doc][1] for item, doc in sorted(expected - got)] == []
 
 
+def test_items_with_one_opening_all_leak(spark):
+    opening = "the committee of the northern valley met at the old hall to hear what the new surveyor had found"
+    items = spark.createDataFrame([(i, f"{opening} {x} and nobody could explain why the {x} had moved") for i, x in enumerate(("reef", "kiln", "mast", "gate", "loom"))], "item_id long, item_text string")
+    documents = spark.createDataFrame([(0, f"Well. {opening} Then it rained."), (1, f"{opening} kiln and nobody could explain why the kiln had moved"), (2, " ".join(opening.split()[:11]))], "doc_id long, text string")
+    got = {(r["item_id"], r["doc_id"]) for r in leakage.leaks(documents, items, block=2).collect()}
+    assert got == {(i, d) for i in range(5) for d in (0, 1)}
+
+
+@pytest.mark.parametrize(
+    "item",
+    [
+        "почему старый маяк у северной бухты погас когда последний смотритель ушёл в город за новой лампой и не вернулся",
+        "पुराने बाजार की दुकान के मालिक ने कल शाम को बताया कि नदी के पास वाली सड़क अगले महीने से बंद रहेगी",
+    ],
+)
+def test_other_scripts(spark, item):
+    words = item.split()
+    texts = [cues(words), item.upper() + "!", " ".join(words[2:14]), " ".join(words[2:13]), "Well, " + ", ".join(words), "nothing at all"]
+    assert set(found(spark, *texts, item=item)) == {0, 1, 2, 4}
+
+
 def test_numbers_are_never_damaged_words():
     assert not leakage.damaged("643", "642") and leakage.damaged("6l2", "612") and leakage.damaged("tlie", "the") and not leakage.damaged("copper", "hollow")
 
