@@ -1,16 +1,17 @@
 """Variant spellings of names typed by people.
 
 Each name is parsed to its distinctive words (spellings of one sound made alike), given name, initials and trade. The
-distinct word sets are joined by tries: a word few edits away keeps its first three or its last three letters (or,
-when short, both ends), so each pair of words is sharded under every combination of these parts, in the parts' own
-order, which also covers reordered words. Each shard is a trie that a Levenshtein automaton (with swaps of
+distinct word sets are joined by tries: a word one edit away keeps its first three or its last three letters (or, when
+short, some letters of both ends), so each pair of words is sharded under every combination of these parts, in the
+parts' own order, which also covers reordered words; with both edits in one of two words the other is whole. Names of
+many words meet by two whole ones. Each shard is a trie that a Levenshtein automaton (with swaps of
 neighbours) walks once for every name of the shard. Words glued together are sharded as one long word; single words
 meet each other and glued words under keys that survive any two edits. Links between word sets are then verified on given name, initials and trade.
 
 A shard with more than ``block`` names is split into blocks that meet pairwise, so no task holds more than two blocks.
 
 Defined results: names that are only a trade, placeholders, null and empty names are no case; equal spellings are no
-pair; a single word under five letters allows one edit; names with more than six distinctive words are sharded by neighbouring words in alphabetical order.
+pair; a single word under five letters, and a word under four beside others, allows one edit.
 """
 
 from __future__ import annotations
@@ -23,12 +24,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.llm import records as R
+from linkwright.llm.leakage import edits
+from linkwright.session import cut
 
 #: Names in one block of a shard, and the most edits between two word sets.
 BLOCK = 2000
 EDITS = 2
 #: Letters of each end of a long word that its keys are made of, and the least letters of a single word with two edits.
 ENDS, TWO_EDITS = 5, 5
+#: Letters of a word from which it may have both edits.
+LEAST_TWICE = 4
+#: From so many words on, names meet by all words but two; from so many on, by two that are neighbours in order.
+FEW, MANY = 4, 16
 PARSED = "entity_id string, name string, core string, given string, initials array<string>, given_letters array<string>, trade string"
 
 
@@ -79,10 +86,15 @@ class Trie:
 
 
 def parts(word: str) -> list[str]:
-    """Parts of a word of which one survives any single edit or swap."""
+    """Parts of a word of which one survives any single edit or swap: three letters at an end, in short words also what
+    stays when an edit falls between, and in very short ones every form with a letter left out."""
     out = [f"^{word[:3]}", f"{word[-3:]}$"]
     if len(word) <= 6:
         out.append(f"{word[:2]}~{word[-2:]}")
+    if len(word) <= 5:
+        out.append(f"{word[:1]}~~{word[-1:]}")
+    if len(word) <= 3:
+        out.extend(sorted({word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}))
     return out
 
 
@@ -107,12 +119,18 @@ def edit_keys(word: str) -> set[str]:
 def shards(core: str) -> Iterator[tuple[str, str]]:
     """``(shard, text)`` of a word set: the text puts the words in the order of the shard's parts."""
     words = core.split(" ")
-    if len(words) == 1:
-        pairs: list[tuple[str, str]] = []
-    elif len(words) <= 6:
-        pairs = list(combinations(words, 2))
-    else:
-        pairs = list(zip(words, words[1:]))
+    if len(words) >= FEW:
+        # two edits touch two words at most: all others are the shard, these two the text
+        for chosen in (*combinations(range(len(words)), 2), *((i,) for i in range(len(words)))) if len(words) < MANY else ():
+            whole = " ".join(w for i, w in enumerate(words) if i not in chosen)
+            for order in {chosen, chosen[::-1]}:
+                yield f"+{whole}", " ".join(words[i] for i in order)
+        if len(words) >= MANY - 2:
+            # of so many words in alphabetical order two neighbours stay neighbours
+            for a, b in zip(words, words[1:]):
+                yield f"*{a} {b}", core
+        return
+    pairs = list(combinations(words, 2))
     seen = set()
     for a, b in pairs:
         rest = " ".join(sorted(w for w in words if w not in (a, b)))
@@ -124,6 +142,12 @@ def shards(core: str) -> Iterator[tuple[str, str]]:
                         if row not in seen:
                             seen.add(row)
                             yield row
+    if len(words) == 2:
+        # both edits in one word leave the other whole, and of its first or last two letters one
+        for a, b in (words, words[::-1]):
+            if len(b) > 1:
+                for key in {f"^{b[0]}", f"^{b[1]}", f"{b[-1]}$", f"{b[-2]}$"}:
+                    yield f"{a}&{key}", f"{a} {b}"
     if len(words) <= 2:
         for glued in {"".join(words), "".join(reversed(words))}:
             if len(glued) >= 8:
@@ -131,23 +155,26 @@ def shards(core: str) -> Iterator[tuple[str, str]]:
                 yield f"={glued[-5:]}$", glued
 
 
-def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for key, text in zip(batch["entity_id"], batch["name"]):
-            name = R.parse_name(text)
-            if name is None or name.generic or not name.core:
-                continue
-            core = " ".join(sorted({R.sound(w) for w in name.core}))
-            letters = sorted(R.GIVEN_LETTERS.get(name.given, ()))
-            rows.append((key, text, core, name.given, sorted(set(name.initials)), letters, name.trade))
-        yield pd.DataFrame(rows, columns=[x.split(" ")[0] for x in PARSED.split(", ")])
+def _parse(lexicon: R.Lexicon):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, text in zip(batch["entity_id"], batch["name"]):
+                name = R.parse_name(text, lexicon)
+                if name is None or name.generic or not name.core:
+                    continue
+                core = " ".join(sorted({R.sound(w) for w in name.core}))
+                letters = sorted(lexicon.given_letters.get(name.given, ()))
+                rows.append((key, text, core, name.given, sorted(set(name.initials)), letters, name.trade))
+            yield pd.DataFrame(rows, columns=[x.split(" ")[0] for x in PARSED.split(", ")])
+
+    return run
 
 
-def parsed_names(frame: DataFrame, key: str, name: str) -> DataFrame:
+def parsed_names(frame: DataFrame, key: str, name: str, lexicon: R.Lexicon = R.GENERAL) -> DataFrame:
     """One row per record with an identifying name."""
     source = frame.select(F.col(key).alias("entity_id"), F.col(name).alias("name"))
-    return source.where(F.col("entity_id").isNotNull() & (F.trim("name") != "")).distinct().mapInPandas(_parse, PARSED)
+    return source.where(F.col("entity_id").isNotNull() & (F.trim("name") != "")).distinct().mapInPandas(_parse(lexicon), PARSED)
 
 
 def _shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -168,9 +195,27 @@ def _single(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["core", "shard", "text"])
 
 
+def words_apart(a: str, b: str, most: int) -> int:
+    """Edits between the words that two word sets do not share, in their better order; ``most + 1`` where it is more."""
+    x, y = a.split(" "), b.split(" ")
+    own, other = [w for w in x if w not in y], [w for w in y if w not in x]
+    if len(own) > 2 or len(other) > 2:
+        return most + 1
+    orders = {tuple(own), tuple(own[::-1])}
+    return min(min(edits(" ".join(o), " ".join(other), most) for o in orders), most + 1)
+
+
 def _walk(rows: list[tuple], most: int) -> Iterator[tuple[str, str, int]]:
     if len(rows) < 2:
         return
+    if all(core.count(" ") >= MANY - 3 for core, *_ in rows):
+        first, second = rows[0][3], rows[0][4]
+        for core, _, block, _, _ in rows:
+            for other, _, place, _, _ in rows:
+                if block == first and place == second and core != other and (core < other or first != second):
+                    if (distance := words_apart(core, other, most)) <= most:
+                        yield (core, other, distance) if core < other else (other, core, distance)
+        return
     trie = Trie()
     first, second = rows[0][3], rows[0][4]
     for core, text, block, _, _ in rows:
@@ -197,20 +242,21 @@ def _walk_single(rows: list[tuple], most: int) -> Iterator[tuple[str, str, int]]
 
 
 def _join(most: int):
-    def walk(group: tuple | None, rows: list[tuple]) -> Iterator[tuple[str, str, int]]:
-        return (_walk_single if group and group[0].startswith("1") else _walk)(rows, most)
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         group, rows, out = None, [], []
+
+        def walked() -> Iterator[tuple[str, str, int]]:
+            return (_walk_single if group and group[1] else _walk)(rows, most)
+
         for batch in batches:
-            for shard, core, text, block, i, j in zip(*(batch[c] for c in ("shard", "core", "text", "block", "i", "j"))):
-                if (shard, i, j) != group:
-                    out.extend(walk(group, rows))
-                    group, rows = (shard, i, j), []
+            for shard, single, core, text, block, i, j in zip(*(batch[c] for c in ("shard", "single", "core", "text", "block", "i", "j"))):
+                if (shard, single, i, j) != group:
+                    out.extend(walked())
+                    group, rows = (shard, single, i, j), []
                 rows.append((core, text, block, i, j))
             yield pd.DataFrame(out, columns=["a", "b", "distance"])
             out = []
-        yield pd.DataFrame(list(walk(group, rows)), columns=["a", "b", "distance"])
+        yield pd.DataFrame(list(walked()), columns=["a", "b", "distance"])
 
     return run
 
@@ -218,22 +264,28 @@ def _join(most: int):
 def near_cores(cores: DataFrame, most: int = EDITS, block: int = BLOCK) -> DataFrame:
     """Pairs ``(a, b, distance)``, a before b, of different word sets at most ``most`` edits apart, in any word order."""
     distinct, kind = cores.select("core").distinct(), "core string, shard string, text string"
-    entries = distinct.mapInPandas(_shard, kind)
+
+    def placed_in(frame: DataFrame, single: bool) -> DataFrame:
+        return frame.select(F.xxhash64("shard").alias("shard"), F.lit(single).alias("single"), "core", "text")
+
+    entries = placed_in(distinct.mapInPandas(_shard, kind), False)
     # glued words need these shards only where a single word stands in them
-    singles = distinct.where(~F.col("core").contains(" ")).mapInPandas(_single, kind)
-    glued = distinct.where(F.col("core").contains(" ")).mapInPandas(_single, kind)
-    entries = entries.unionByName(singles).unionByName(glued.join(singles.select("shard").distinct(), "shard", "left_semi").select("core", "shard", "text"))
-    hot = entries.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
-    blocks = hot.select("shard", F.ceil(F.col("n") / block).cast("int").alias("k"))
-    placed = entries.join(blocks, "shard", "left").withColumn("k", F.coalesce("k", F.lit(1)))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("core"), F.col("k")).cast("int"))
+    singles = placed_in(distinct.where(~F.col("core").contains(" ")).mapInPandas(_single, kind), True)
+    glued = placed_in(distinct.where(F.col("core").contains(" ")).mapInPandas(_single, kind), True)
+    entries = cut(entries.unionByName(singles).unionByName(glued.join(singles.select("shard").distinct(), "shard", "left_semi").select(singles.columns)))
+    counts = entries.groupBy("shard", "single").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    blocks = counts.select("shard", "single", F.ceil(F.col("n") / block).cast("int").alias("k"))
+    placed = entries.join(blocks, ["shard", "single"]).withColumn("block", F.pmod(F.xxhash64("core"), F.col("k")).cast("int"))
     partners = F.sequence(F.lit(0), F.col("k") - 1)
-    placed = placed.select("shard", "core", "text", "block", F.explode(partners).alias("other"))
-    placed = placed.select("shard", "core", "text", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    ordered = placed.repartition("shard", "i", "j").sortWithinPartitions("shard", "i", "j")
+    placed = placed.select("shard", "single", "core", "text", "block", F.explode(partners).alias("other"))
+    placed = placed.select("shard", "single", "core", "text", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    ordered = placed.repartition("shard", "single", "i", "j").sortWithinPartitions("shard", "single", "i", "j")
     found = ordered.mapInPandas(_join(most), "a string, b string, distance int").groupBy("a", "b").agg(F.min("distance").alias("distance"))
     single = ~F.col("a").contains(" ") | ~F.col("b").contains(" ")
-    return found.where(~single | (F.col("distance") <= 1) | (F.least(F.length("a"), F.length("b")) >= TWO_EDITS))
+    a, b = F.split("a", " "), F.split("b", " ")
+    own, other = F.array_except(a, b), F.array_except(b, a)
+    short = ~single & (F.size(own) == 1) & (F.size(other) == 1) & (F.least(F.length(own[0]), F.length(other[0])) < LEAST_TWICE)
+    return found.where((F.col("distance") <= 1) | ~short & (~single | (F.least(F.length("a"), F.length("b")) >= TWO_EDITS)))
 
 
 def same_bearer(a: str, b: str) -> Column:
@@ -253,18 +305,23 @@ def same_bearer(a: str, b: str) -> Column:
     return agrees("trade") & agrees("given") & initial(a, b) & initial(b, a)
 
 
-def variant_pairs(frame: DataFrame, key: str, name: str) -> DataFrame:
-    """Pairs ``(entity_id_a, entity_id_b)``, smaller id first, of records whose differing names mean the same bearer."""
-    bearers = parsed_names(frame, key, name)
-    links = near_cores(bearers).select("a", "b")
-    left = bearers.alias("x")
-    right = bearers.alias("y")
-    names = bearers.select("core").distinct()
+def variant_pairs(frame: DataFrame, key: str, name: str, lexicon: R.Lexicon = R.GENERAL) -> DataFrame:
+    """Pairs ``(entity_id_a, entity_id_b)``, smaller id first, of records whose differing names mean the same bearer.
+
+    Spellings are compared, not records: a name that very many records bear is compared once, and its bearers only
+    meet where the result lists them.
+    """
+    bearers = cut(parsed_names(frame, key, name, lexicon).withColumn("spelling", F.xxhash64("name", "core", "given", "initials", "trade")))
+    spellings = cut(bearers.drop("entity_id").dropDuplicates(["spelling"]))
+    links = near_cores(spellings).select("a", "b")
+    names = spellings.select("core").distinct()
     same = names.select(F.col("core").alias("a"), F.col("core").alias("b"))
-    met = links.unionByName(same).join(left, F.col("a") == F.col("x.core")).join(right, F.col("b") == F.col("y.core"))
-    met = met.where((F.col("x.entity_id") != F.col("y.entity_id")) & (F.col("x.name") != F.col("y.name")))
-    met = met.where(same_bearer("x", "y"))
-    pairs = met.select(
-        F.least("x.entity_id", "y.entity_id").alias("entity_id_a"), F.greatest("x.entity_id", "y.entity_id").alias("entity_id_b")
-    )
-    return pairs.distinct()
+    x, y = spellings.alias("x"), spellings.alias("y")
+    met = links.unionByName(same).join(x, F.col("a") == F.col("x.core")).join(y, F.col("b") == F.col("y.core"))
+    # within one core each two spellings are met twice
+    met = met.where((F.col("x.name") != F.col("y.name")) & ((F.col("a") != F.col("b")) | (F.col("x.spelling") < F.col("y.spelling"))))
+    met = met.where(same_bearer("x", "y")).select(F.col("x.spelling").alias("one"), F.col("y.spelling").alias("other"))
+    left = bearers.select(F.col("spelling").alias("one"), F.col("entity_id").alias("i"))
+    right = bearers.select(F.col("spelling").alias("other"), F.col("entity_id").alias("j"))
+    pairs = met.join(left, "one").join(right, "other").where(F.col("i") != F.col("j"))
+    return pairs.select(F.least("i", "j").alias("entity_id_a"), F.greatest("i", "j").alias("entity_id_b")).distinct()

@@ -3,22 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm import abuse, addresses, groups, leakage, linkage, lookalikes, names, packing
+from linkwright.llm import abuse, addresses, groups, leakage, linkage, lookalikes, names, packing, records
 from linkwright.llm.tables import read
 from linkwright.session import cut
 
 
+# The states that the tables name, with their short forms. They are data of these tables, not of the operators.
+REGIONS = (
+    ("tessaly", "ts"), ("norvale", "nv"), ("corrado", "cr"), ("ohoona", "oo"), ("east marlan", "em"), ("wiskern", "wk"),
+    ("girigarh", "gg"), ("samudra nadu", "sn"), ("purva pradesh", "pp"), ("uttar desham", "ud"), ("malavati", "mv"),
+)
+LEXICON = replace(records.GENERAL, regions=REGIONS)
+
+
 def noisy_records(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["entity_id", "business_name", "business_address"]
     return read(spark, folder, "train_source2").select(columns).unionByName(read(spark, folder, "train_source3").select(columns))
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    return addresses.same_place_pairs(noisy_records(spark, folder), "entity_id", "business_address")
+    return addresses.same_place_pairs(noisy_records(spark, folder), "entity_id", "business_address", LEXICON)
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,7 +46,7 @@ def p4_links(spark: SparkSession, folder: str) -> DataFrame:
     """Matches of the entities without a row in train_matches, with the confidence of each."""
     labelled = read(spark, folder, "train_matches").select(F.regexp_replace("source1_entity_id", groups.BLANKS, "").alias("entity_id"))
     open_entities = read(spark, folder, "train_source1").join(labelled, "entity_id", "left_anti")
-    found = linkage.linked(open_entities, noisy_records(spark, folder), "entity_id", "business_name", "business_address")
+    found = linkage.linked(open_entities, noisy_records(spark, folder), "entity_id", "business_name", "business_address", LEXICON)
     return found.select(F.col("left_id").alias("source1_entity_id"), F.col("right_id").alias("candidate_entity_id"), "confidence")
 
 
@@ -59,7 +68,7 @@ def p5_folded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    return names.variant_pairs(noisy_records(spark, folder), "entity_id", "business_name")
+    return names.variant_pairs(noisy_records(spark, folder), "entity_id", "business_name", LEXICON)
 
 
 def p7_containers(spark: SparkSession, folder: str) -> DataFrame:

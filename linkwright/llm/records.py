@@ -2,12 +2,17 @@
 
 Plain Python, run inside Arrow batches. Every function returns a defined result for any text: null, empty and
 placeholder texts parse to nothing.
+
+What words mean (street types, legal forms, trades, given names, regions) stands in a :class:`Lexicon`, a parameter of
+every operator. ``GENERAL`` holds everyday words of the three countries and no places; ``EMPTY`` knows nothing, so every
+word is a name and matching rests on spelling, numbers and structure alone.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from dataclasses import dataclass, field
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -29,20 +34,15 @@ BUILDINGS_BEFORE = "residence galerie batiment"
 LOCALITIES = "layout pet nagar extension extn colony"
 LANDMARK_WORDS = "near nr opp opposite above beside behind next"
 LANDMARK_REST = "to the bus stand railway stn station petrol pump govt government school post office grameen bank atm shiva temple old mill clock hospital church park"
-STATES = {
-    "tessaly": "ts", "norvale": "nv", "corrado": "cr", "ohoona": "oo", "east marlan": "em", "wiskern": "wk",
-    "girigarh": "gg", "samudra nadu": "sn", "purva pradesh": "pp", "uttar desham": "ud", "malavati": "mv",
-}
-FRENCH_TYPES = frozenset("rue chemin impasse place quai allee cours".split())
+FRENCH_TYPES = "rue chemin impasse place quai allee cours"
+ARTICLES = frozenset("de la le les du des d l".split())
 ORDINALS = "first second third fourth fifth sixth seventh eighth ninth tenth eleventh twelfth thirteenth fourteenth fifteenth sixteenth seventeenth eighteenth nineteenth twentieth".split()
 
 #: Legal forms, salutations and other words that do not tell one business from another.
-LEGAL = frozenset(
-    "inc incorporated llc llp corp corporation co company ltd limited pvt private p plc sarl sas sa eurl sasu sci snc regd registered gmbh".split()
-)
-SALUTATIONS = frozenset("the messrs mr mrs ms dr shri sri smt m/s mm ets".split())
-LINKS = frozenset("and n et".split())
-FAMILY = frozenset("sons son fils bros brothers".split())
+LEGAL = "inc incorporated llc llp corp corporation co company ltd limited pvt private p plc sarl sas sa eurl sasu sci snc regd registered gmbh"
+SALUTATIONS = "the messrs mr mrs ms dr shri sri smt m/s mm ets"
+LINKS = "and n et"
+FAMILY = "sons son fils bros brothers"
 #: Trades with their written forms; a form of several words is written with a hyphen.
 TRADES = """
 roofing roofers roof roofer rfg | bakery bkry bakers baker baking | laundromat laundry laundries | flooring fine-flooring fine-floors fine-floor floors
@@ -96,22 +96,74 @@ def _forms(text: str) -> dict[str, str]:
     return out
 
 
-STREET_FORMS = _forms(STREET_TYPES)
-TRADE_FORMS = _forms(TRADES)
-GIVEN_FORMS = _forms(GIVEN)
-_TRADE_PHRASES = {tuple(k.split("-")): v for k, v in TRADE_FORMS.items() if "-" in k}
-_GENERIC = frozenset(GENERIC.split())
-_SETS = {k: frozenset(v.split()) for k, v in (("unit", UNIT_WORDS), ("door", DOOR_WORDS), ("building", BUILDINGS), ("before", BUILDINGS_BEFORE), ("local", LOCALITIES), ("mark", LANDMARK_WORDS), ("rest", LANDMARK_REST))}
+@dataclass(frozen=True, eq=False)
+class Lexicon:
+    """What words mean. Lists are blank-separated words; lines of forms begin with the common name; all may be empty.
+
+    ``regions`` maps the names of states to their short forms.
+    """
+
+    street_types: str = ""
+    french_types: str = ""
+    unit_words: str = ""
+    door_words: str = ""
+    buildings: str = ""
+    buildings_before: str = ""
+    localities: str = ""
+    landmark_words: str = ""
+    landmark_rest: str = ""
+    legal: str = ""
+    salutations: str = ""
+    links: str = ""
+    family: str = ""
+    trades: str = ""
+    generic: str = ""
+    given: str = ""
+    written_trades: tuple[tuple[str, str], ...] = ()
+    regions: tuple[tuple[str, str], ...] = ()
+    sets: dict[str, frozenset] = field(init=False, repr=False)
+    streets: dict[str, str] = field(init=False, repr=False)
+    trade_forms: dict[str, str] = field(init=False, repr=False)
+    trade_phrases: dict[tuple, str] = field(init=False, repr=False)
+    given_forms: dict[str, str] = field(init=False, repr=False)
+    given_letters: dict[str, frozenset] = field(init=False, repr=False)
+    region_words: dict[tuple, str] = field(init=False, repr=False)
+    region_codes: frozenset = field(init=False, repr=False)
+
+    def __post_init__(self) -> None:
+        names = "french_types unit_words door_words buildings buildings_before localities landmark_words landmark_rest legal salutations links family generic".split()
+        trades, given = _forms(self.trades), _forms(self.given)
+        letters: dict[str, frozenset] = {}
+        for form, name in given.items():
+            # first letters of all forms of a given name
+            letters[name] = letters.get(name, frozenset()) | {form[0]}
+        made = {
+            "sets": {n: frozenset(getattr(self, n).split()) for n in names},
+            "streets": _forms(self.street_types),
+            "trade_forms": trades,
+            "trade_phrases": {tuple(k.split("-")): v for k, v in trades.items() if "-" in k},
+            "given_forms": given,
+            "given_letters": letters,
+            "region_words": {tuple(k.split()): v for k, v in self.regions},
+            "region_codes": frozenset(v for _, v in self.regions),
+        }
+        for name, value in made.items():
+            object.__setattr__(self, name, value)
+
+
+EMPTY = Lexicon()
+GENERAL = Lexicon(
+    STREET_TYPES, FRENCH_TYPES, UNIT_WORDS, DOOR_WORDS, BUILDINGS, BUILDINGS_BEFORE, LOCALITIES, LANDMARK_WORDS, LANDMARK_REST,
+    LEGAL, SALUTATIONS, LINKS, FAMILY, TRADES, GENERIC, GIVEN, tuple(DEVANAGARI_TRADES.items()),
+)
 _ORDINAL = {f"{i}{'st' if i == 1 else 'nd' if i == 2 else 'rd' if i == 3 else 'th'}": w for i, w in enumerate(ORDINALS, 1)}
-_STATE_WORDS = {tuple(k.split()): v for k, v in STATES.items()}
-_STATE_CODES = frozenset(STATES.values())
 
 
-def latin(text: str) -> str:
+def latin(text: str, lexicon: Lexicon = GENERAL) -> str:
     """Devanagari in Latin letters; other text unchanged."""
     if not any("ऀ" <= c <= "ॿ" for c in text):
         return text
-    for written, trade in DEVANAGARI_TRADES.items():
+    for written, trade in lexicon.written_trades:
         if written in text:
             text = text.replace(written, f" {trade} ")
     out: list[str] = []
@@ -147,11 +199,11 @@ def latin(text: str) -> str:
     return "".join(out)
 
 
-def plain(text: str | None) -> str:
+def plain(text: str | None, lexicon: Lexicon = GENERAL) -> str:
     """Consistent form, Latin letters, no accents, lower case."""
     if not text:
         return ""
-    folded = latin(fold_text(text))
+    folded = latin(fold_text(text), lexicon)
     if folded.isascii():
         return folded.lower()
     bare = unicodedata.normalize("NFKD", folded.casefold())
@@ -185,6 +237,8 @@ class Address(NamedTuple):
     unit: str
     street: str
     kind: str
+    #: Further words of the street's name.
+    more: tuple[str, ...]
     towns: tuple[str, ...]
     state: str
     code: str
@@ -202,22 +256,26 @@ _ADDRESS_FIXES = (
 _ADDRESS_TOKEN = re.compile(r"#\s*\d+|\d+(?:st|nd|rd|th)\b|\d+|[^\W\d_](?:[^\W\d_]|[-'](?=[^\W\d_]))*")
 
 
-def parse_address(text: str | None) -> Address | None:
+def parse_address(text: str | None, lexicon: Lexicon = GENERAL) -> Address | None:
     """The numbered place that an address names; None where it names none."""
-    place = read_address(text)
+    place = read_address(text, lexicon)
     return place if place is not None and place.door and place.street else None
 
 
 @lru_cache(maxsize=200_000)
-def read_address(text: str | None) -> Address | None:
+def read_address(text: str | None, lexicon: Lexicon = GENERAL) -> Address | None:
     """What an address says, with an empty door where it names no numbered place; None where it says nothing."""
-    flat = plain(text).strip()
+    flat = plain(text, lexicon).strip()
     if not any(c.isalnum() for c in flat) or flat in PLACEHOLDERS:
         return None
     for pattern, to in _ADDRESS_FIXES:
         flat = pattern.sub(to, flat)
-    tokens = _ADDRESS_TOKEN.findall(flat)
+    found = list(_ADDRESS_TOKEN.finditer(flat))
+    tokens = [m.group() for m in found]
+    # whether a comma or a line break stands before a token
+    breaks = [i == 0 or any(c in ",;\n" for c in flat[found[i - 1].end() : m.start()]) for i, m in enumerate(found)]
     used = [False] * len(tokens)
+    sets = lexicon.sets
     code = unit = door = ""
     hashes: list[int] = []
     numbers: list[int] = []
@@ -233,14 +291,14 @@ def read_address(text: str | None) -> Address | None:
     # a number after a unit word is the unit; door words may stand between
     for i in sorted([*numbers, *hashes]):
         back = i - 1
-        while back >= 0 and tokens[back] in _SETS["door"] and tokens[back] in ("no", "number", "n", "num"):
+        while back >= 0 and tokens[back] in sets["door_words"] and tokens[back] in ("no", "number", "n", "num"):
             back -= 1
-        if back >= 0 and tokens[back] in _SETS["unit"] and not unit:
+        if back >= 0 and tokens[back] in sets["unit_words"] and not unit:
             unit = tokens[i].strip("# ")
             for j in range(back, i + 1):
                 used[j] = True
     left = [i for i in numbers if not used[i]]
-    marked = [i for i in left if i and tokens[i - 1] in _SETS["door"]]
+    marked = [i for i in left if i and tokens[i - 1] in sets["door_words"]]
     open_hashes = [i for i in hashes if not used[i]]
     if marked:
         at = marked[0]
@@ -256,56 +314,80 @@ def read_address(text: str | None) -> Address | None:
         used[i] = True
     door = (tokens[at].strip("# ").lstrip("0") or "0") if at >= 0 else ""
     for i, token in enumerate(tokens):
-        if token in _SETS["door"] or token in _SETS["unit"]:
+        # one letter before a number; elsewhere it may be short for North
+        if (token in sets["door_words"] and (len(token) > 1 or i + 1 in numbers or i + 1 in hashes)) or token in sets["unit_words"]:
             used[i] = True
     # landmarks, buildings and localities are not part of the place's own name
     i = 0
     while i < len(tokens):
-        if tokens[i] in _SETS["mark"]:
+        if tokens[i] in sets["landmark_words"]:
             used[i] = True
             j = i + 1
-            while j < len(tokens) and tokens[j] in _SETS["rest"]:
+            while j < len(tokens) and tokens[j] in sets["landmark_rest"]:
                 used[j] = True
                 j += 1
             i = j
             continue
-        if tokens[i] in _SETS["before"] and i + 1 < len(tokens):
+        if tokens[i] in sets["buildings_before"] and i + 1 < len(tokens):
             used[i] = used[i + 1] = True
-        elif (tokens[i] in _SETS["building"] or tokens[i] in _SETS["local"]) and i and not used[i - 1]:
+        elif (tokens[i] in sets["buildings"] or tokens[i] in sets["localities"]) and i and not used[i - 1]:
             used[i] = used[i - 1] = True
         i += 1
-    # the street: its type, and the word before it (after it in French)
+
+    def open_word(j: int) -> bool:
+        return 0 <= j < len(tokens) and not used[j] and (tokens[j][0].isalpha() or tokens[j] in _ORDINAL)
+
+    # the street: its type, and the words before it (after it in French) up to a comma or a number
     street = kind = ""
+    more: list[str] = []
+    unsure: list[str] = []
     for i, token in enumerate(tokens):
         if used[i]:
             continue
-        form = "main-road" if token == "main-road" else STREET_FORMS.get(token)
+        form = "main-road" if token == "main-road" else lexicon.streets.get(token)
         if not form:
             continue
         after = i + 1 < len(tokens) and not used[i + 1] and tokens[i + 1][0].isalpha()
         before = i > 0 and not used[i - 1] and tokens[i - 1][0].isalpha() or (i > 0 and tokens[i - 1] in _ORDINAL)
         number_before = i > 0 and tokens[i - 1].isdigit()
-        french = form in FRENCH_TYPES or form in ("avenue", "boulevard") and (number_before or i == 0) and after
+        french = form in sets["french_types"] or form in ("avenue", "boulevard") and (number_before or i == 0) and after
         if french and after:
-            name = i + 1
+            step, name = 1, i + 1
+            while tokens[name] in ARTICLES and open_word(name + 1) and not breaks[name + 1]:
+                used[name] = True
+                name += 1
         elif before and not french:
-            name = i - 1
+            step, name = -1, i - 1
         else:
             continue
         street, kind = _ORDINAL.get(tokens[name], tokens[name]), form
         used[i] = used[name] = True
+        j = name + step
+        while open_word(j) and not breaks[max(j, j - step)]:
+            more.append(_ORDINAL.get(tokens[j], tokens[j]))
+            j += step
+        # words that neither a comma nor a number sets off may be the town
+        bounded = 0 <= j < len(tokens) and (used[j] or not tokens[j][0].isalpha() or breaks[max(j, j - step)])
+        bounded = bounded and (step < 0 or tokens[j][0].isdigit() or breaks[j])
+        for k in range(name + step, j, step):
+            used[k] = True
+        if not bounded:
+            unsure = list(more)
+        more = [w for w in more if w not in ARTICLES]
         break
-    rest = [t for i, t in enumerate(tokens) if not used[i] and t[0].isalpha()]
+    rest = [t for i, t in enumerate(tokens) if t[0].isalpha() and (not used[i] or t in unsure)]
     state = ""
-    for words, short in _STATE_WORDS.items():
+    for words, short in lexicon.region_words.items():
         for i in range(len(rest) - len(words) + 1):
             if tuple(rest[i : i + len(words)]) == words:
                 state, rest = short, rest[:i] + rest[i + len(words) :]
+                more = [w for w in more if w not in words] if unsure else more
                 break
     kept = []
     for word in rest:
-        if word in _STATE_CODES and not state:
+        if word in lexicon.region_codes and not state:
             state = word
+            more = [w for w in more if w != word] if unsure else more
         elif len(word) > 2:
             kept.append(word)
     if not street and at >= 0:
@@ -315,18 +397,12 @@ def read_address(text: str | None) -> Address | None:
         street = name
         if name in kept:
             kept.remove(name)
-    return Address(door, unit.lstrip("0"), street, kind, tuple(sorted(set(kept))[:6]), state, code)
+    return Address(door, unit.lstrip("0"), street, kind, tuple(sorted({w for w in more if w != street})), tuple(sorted(set(kept))), state, code)
 
 
 # ---------------------------------------------------------------------------------------------- names
 
 
-#: First letters of all forms of a given name.
-GIVEN_LETTERS: dict[str, frozenset[str]] = {}
-for _form, _name in GIVEN_FORMS.items():
-    GIVEN_LETTERS[_name] = GIVEN_LETTERS.get(_name, frozenset()) | {_form[0]}
-
-
 class Name(NamedTuple):
     core: tuple[str, ...]
     given: str
@@ -344,41 +420,41 @@ _MS = re.compile(r"\bm\s*/\s*s\b\.?")
 
 
 @lru_cache(maxsize=200_000)
-def parse_name(text: str | None) -> Name | None:
+def parse_name(text: str | None, lexicon: Lexicon = GENERAL) -> Name | None:
     """What a business name says; None for empty texts and placeholders."""
     if not text:
         return None
     folded = fold_text(text)
     if sum(c.isupper() for c in folded) < 0.6 * max(1, sum(c.isalpha() for c in folded)):
         folded = _CAMEL.sub(" ", folded)
-    flat = plain(folded).strip()
+    flat = plain(folded, lexicon).strip()
     if flat in PLACEHOLDERS or not any(c.isalpha() for c in flat):
         return None
     flat = _MS.sub(" ", flat)
     flat = _ALIAS.sub(" ", flat) or flat
     flat = _DOTTED.sub(lambda m: m.group().replace(".", "") + " ", flat)
     flat = re.sub(r"\bjean[- ]baptiste\b", "jb", flat)
-    tokens = _NAME_TOKEN.findall(flat)
+    tokens, sets = _NAME_TOKEN.findall(flat), lexicon.sets
     trade, family, given = "", False, ""
     core: list[str] = []
     initials: list[str] = []
     i = 0
     while i < len(tokens):
-        phrase = next((k for k in (3, 2) if tuple(tokens[i : i + k]) in _TRADE_PHRASES), 0)
+        phrase = next((k for k in (3, 2) if tuple(tokens[i : i + k]) in lexicon.trade_phrases), 0)
         token = tokens[i]
         if phrase:
-            trade = trade or _TRADE_PHRASES[tuple(tokens[i : i + phrase])]
+            trade = trade or lexicon.trade_phrases[tuple(tokens[i : i + phrase])]
             i += phrase
             continue
         i += 1
-        if token in TRADE_FORMS:
-            trade = trade or TRADE_FORMS[token]
-        elif token in FAMILY:
+        if token in lexicon.trade_forms:
+            trade = trade or lexicon.trade_forms[token]
+        elif token in sets["family"]:
             family = True
-        elif token in LEGAL and (len(token) > 1) or token in SALUTATIONS or token in LINKS and len(token) > 1:
+        elif len(token) > 1 and (token in sets["legal"] or token in sets["links"]) or token in sets["salutations"]:
             continue
-        elif not given and token in GIVEN_FORMS:
-            given = GIVEN_FORMS[token]
+        elif not given and token in lexicon.given_forms:
+            given = lexicon.given_forms[token]
         elif len(token) == 1:
             if token not in ("n", "p"):
                 initials.append(token)
@@ -387,5 +463,5 @@ def parse_name(text: str | None) -> Name | None:
     # a word in another script beside the Latin name repeats the trade
     latin_words = [w for w in core if w.isascii()]
     core = latin_words if latin_words and len(latin_words) < len(core) else core
-    generic = len(core) == sum(w in _GENERIC for w in core)
+    generic = len(core) == sum(w in sets["generic"] for w in core)
     return Name(tuple(core), given, tuple(initials), trade, family, generic)

@@ -4,6 +4,7 @@ import pytest
 
 from linkwright.llm import addresses, groups, linkage, names, records
 from linkwright.llm.leakage import edits
+from linkwright.llm.queries import LEXICON
 
 
 def pairs(frame):
@@ -55,7 +56,7 @@ def test_same_places(spark):
     rows = [(k, v, "x") for k, v in ADDRESSES.items()] + [("S2-1", ADDRESSES["S2-1"], "y"), (None, "1 A Road", "z")]
     frame = spark.createDataFrame(rows, "entity_id string, business_address string, street string")
     expected = {tuple(sorted((a, b))) for group in SAME for a in group for b in group if a < b}
-    assert pairs(addresses.same_place_pairs(frame, "entity_id", "business_address")) == expected
+    assert pairs(addresses.same_place_pairs(frame, "entity_id", "business_address", LEXICON)) == expected
     assert addresses.same_place_pairs(frame.limit(0), "entity_id", "business_address").isEmpty()
 
 
@@ -73,8 +74,9 @@ def test_index_misses_nothing_that_verifies(spark):
     places = addresses.parsed_places(frame, "k", "a")
     signatures = places.dropDuplicates(["sid"]).drop("entity_id")
     got = {(r[0], r[1]) for r in addresses.similar_places(signatures).collect()}
-    vectors = {r["sid"]: {x["g"]: x["w"] for x in r["vector"]} for r in addresses.vectors(signatures).collect()}
-    a, b = signatures.drop("grams").alias("a"), signatures.drop("grams").alias("b")
+    of_street = {r["street"]: {x["g"]: x["w"] for x in r["vector"]} for r in addresses.vectors(signatures).collect()}
+    vectors = {r["sid"]: of_street[r["street"]] for r in signatures.collect()}
+    a, b = signatures.alias("a"), signatures.alias("b")
     from pyspark.sql import functions as F
 
     near = a.join(b, (F.col("a.sid") < F.col("b.sid")) & (F.col("a.door") == F.col("b.door"))).where(addresses.compatible("a", "b") & addresses.close_streets("a", "b"))
@@ -83,11 +85,35 @@ def test_index_misses_nothing_that_verifies(spark):
     assert got == brute and got
 
 
+def same_places(spark, lexicon, *addresses_):
+    frame = spark.createDataFrame([(f"S2-{i}", a) for i, a in enumerate(addresses_)], "k string, a string")
+    return {(int(a[3:]), int(b[3:])) for a, b in pairs(addresses.same_place_pairs(frame, "k", "a", lexicon))}
+
+
+def test_streets_of_several_words(spark):
+    texts = [
+        "1200 North Main Street, Springfield, 62701", "1200 South Main Street, Springfield, 62701", "1200 N Main St, Springfield 62701", "1200 Main St, Springfield, 62701",
+        "12 Old Mill Road, Springfield, 62701", "12 New Mill Road, Springfield, 62701", "12 Old Mill Rd, Sprngfield 62701", "12 rue de la Paix, 75002 Paris", "12, rue Paix Paris", "7 Martin Luther King Road, Salem", "7 Stephen King Road, Salem",
+    ]
+    assert same_places(spark, records.GENERAL, *texts) == {(0, 2), (0, 3), (1, 3), (2, 3), (4, 6), (7, 8)}
+    long = "5 Mavutu Road, beside alpha bravo delta echo foxtrot golf hotel india, Zulutown"
+    assert same_places(spark, records.GENERAL, long, "5 Mavutu Rd, Zulutown", "5 Mavutu Rd, Yankeetown") == {(0, 1)}
+
+
+def test_no_lexicon(spark):
+    """Without any list every word is a name; spelling, numbers and structure still tell places and names apart."""
+    texts = ["146 Dokoge, Noseville 33951", "146 Dokoeg, Noseville, 33951", "148 Dokoge, Noseville 33951", "146 Dokoge, Otherton 11111"]
+    assert same_places(spark, records.EMPTY, *texts) == {(0, 1)}
+    rows = [("S2-1", "Puyeman Luulekan"), ("S3-1", "Luulekan Puyemann"), ("S3-2", "Gohuko Yobivu"), ("S3-3", "")]
+    assert pairs(names.variant_pairs(spark.createDataFrame(rows, "k string, n string"), "k", "n", records.EMPTY)) == {("S2-1", "S3-1")}
+
+
 @pytest.mark.parametrize(
     "text", [None, "", "-", "...", "#", "#12", "12", "Shop No", "1 2 3 4 5", "पिन 123456", "x " * 5000, "12 " * 3000]
 )
 def test_parsers_take_anything(text):
-    records.parse_address(text), records.read_address(text), records.parse_name(text)
+    for lexicon in (records.GENERAL, records.EMPTY):
+        records.parse_address(text, lexicon), records.read_address(text, lexicon), records.parse_name(text, lexicon)
 
 
 def test_trie_against_edit_distance():
@@ -127,6 +153,40 @@ def test_one_edit_in_each_word_is_always_found(spark):
     assert got == pairs(names.near_cores(frame, block=3).select("a", "b"))
 
 
+def test_two_edits_anywhere_are_always_found(spark):
+    """Shards against all pairs, for names of two to nine words and more, both edits in one word or in two."""
+    rng = random.Random(9)
+
+    def word():
+        return "".join(rng.choice("bcdfghklmnprst") + rng.choice("aeiou") for _ in range(rng.choice([2, 3, 4])))
+
+    def hurt(words):
+        words = list(words)
+        for i in rng.choice([(0, 0), (0, 1), (len(words) - 1,) * 2, (rng.randrange(len(words)),)]):
+            w = words[i]
+            k = rng.choice([0, rng.randrange(len(w)), len(w) - 1])
+            words[i] = rng.choice([w[:k] + w[k + 1 :], w[:k] + "z" + w[k + 1 :], w[:k] + "z" + w[k:]]) if len(w) > 3 else w
+        return words
+
+    kept = [[word() for _ in range(n)] for n in (2, 2, 2, 3, 4, 5, 6, 7, 9, 14, 18) for _ in range(12)]
+    made = [(" ".join(sorted(set(w))), " ".join(sorted(set(hurt(w))))) for w in kept for _ in range(3)]
+    got = pairs(names.near_cores(spark.createDataFrame([(c,) for pair in made for c in pair], "core string")).select("a", "b"))
+    for a, b in made:
+        x, y = set(a.split()) - set(b.split()), set(b.split()) - set(a.split())
+        if a == b or len(a.split()) != len(b.split()):
+            continue
+        total = edits(*x, *y, 2) if len(x) == len(y) == 1 else 2
+        if total == 2 and len(x) == 1 and min(map(len, (*x, *y))) < names.LEAST_TWICE:
+            continue
+        assert (min(a, b), max(a, b)) in got, (a, b)
+
+
+def test_hot_names_meet_by_spelling(spark):
+    rows = [(f"S2-{i:03d}", "Puyeman Luulekan Bakery") for i in range(60)] + [("S3-001", "PUYEMAN LUULEKAN BKRY"), ("S3-002", "PUYEMAN LUULEKAN BKRY"), ("S3-003", None)]
+    got = pairs(names.variant_pairs(spark.createDataFrame(rows, "k string, n string"), "k", "n"))
+    assert got == {(f"S2-{i:03d}", f"S3-00{j}") for i in range(60) for j in (1, 2)}
+
+
 NAMES = {
     "S2-1": "Katherine Puyeman Luulekan Bakery LLC", "S2-2": "katie luulekan puyeman bkry", "S3-1": "LUULEKAN PUYMEAN, K.", "S3-2": "Puyeman Luulekan Hardware", "S3-3": "General Store", "S2-3": "General Store",
     "S2-4": None, "S2-5": "", "S2-6": "Gohuko & Yobivu Agencies", "S3-4": "गोहुको योबिवु एजेंसीज", "S3-5": "GOHUKOYOBIVU AGENCIES", "S3-6": "M/S. Gohuko Yobivu Agcy Ltd dba Blue Fern", "S2-7": "Robert Puyeman Luulekan Bakery",
@@ -153,10 +213,10 @@ def test_linkage(spark):
         ("S3-1", "Gohuko & Yobivu Agcs", "Plot 12, Tajuru Cross, Tiyehupur"), ("S3-2", None, None), ("S3-3", "Puyeman Luulekan Hardware", "146 Dokoge Road, Noseville"), ("S2-1", "LUULEKAN PUYEMAN BKRY", "Dokoge Rd 146, Noseville"),
     ]
     a, b = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
-    rows = linkage.linked(a, b, "entity_id", "business_name", "business_address").collect()
+    rows = linkage.linked(a, b, "entity_id", "business_name", "business_address", LEXICON).collect()
     assert {(r[0], r[1]) for r in rows} == {("S1-1", "S2-1"), ("S1-1", "S2-4"), ("S1-1", "S2-5"), ("S1-2", "S2-6"), ("S1-3", "S3-1")}
     assert all(0 < r["confidence"] <= 1 for r in rows) and len(rows) == 5
-    assert linkage.linked(a.limit(0), b, "entity_id", "business_name", "business_address").isEmpty()
+    assert linkage.linked(a.limit(0), b, "entity_id", "business_name", "business_address", LEXICON).isEmpty()
 
 
 SIX = "entity_id string, business_name string, business_address string"
@@ -179,12 +239,12 @@ def test_accepted_streets_always_meet(spark):
     right = [(f"S2-{i}", "General Store", f"{10 + i % 3} {hurt(rng.choice(streets))} Street, Noseville, {rng.choice(['', '273538'])}") for i in range(400)]
     left += [("S1-x", "General Store", "No 1834, Gipihe Street, Noseville, 273538")]
     right += [("S3-x", "General Store", "No.1834 Giphie Street, Noseville 273538")]
-    a, b = (linkage.described(spark.createDataFrame(rows, SIX), "entity_id", "business_name", "business_address").localCheckpoint() for rows in (left, right))
+    a, b = (linkage.described(spark.createDataFrame(rows, SIX), "entity_id", "business_name", "business_address", LEXICON).persist() for rows in (left, right))
     met = pairs(linkage.candidate_graph(a, b, prune=0.0).select("x", "y"))
     both = a.alias("a").join(b.alias("b"), F.col("a.full") & F.col("b.full")).where(linkage.address_score("a", "b") >= linkage.ACCEPT)
     brute = pairs(both.select("a.id", "b.id"))
     assert len(brute) > 100 and brute - met == set()
-    got = linkage.linked(spark.createDataFrame(left, SIX), spark.createDataFrame(right, SIX), "entity_id", "business_name", "business_address")
+    got = linkage.linked(spark.createDataFrame(left, SIX), spark.createDataFrame(right, SIX), "entity_id", "business_name", "business_address", LEXICON)
     assert ("S1-x", "S3-x") in pairs(got.select("left_id", "right_id"))
 
 
@@ -192,8 +252,8 @@ def test_frequent_names_still_link_full_addresses(spark):
     """A chain's records with distant streets at one door meet by name, however many records bear it."""
     right = [(f"S2-{i}", "Puyeman Luulekan Bakery", f"{i + 20} Dokoge Road, Noseville") for i in range(30)] + [("S2-x", "Puyeman Luulekan Bakery", "9 Lokurehan Road, Noseville")]
     left = [("S1-1", "Puyeman Luulekan Bakery", "9 Mavutu Road, Noseville"), ("S1-2", "Puyeman Luulekan Bakery", "8 Mavutu Road, Noseville")]
-    a, b = (linkage.described(spark.createDataFrame(rows, SIX), "entity_id", "business_name", "business_address").localCheckpoint() for rows in (left, right))
-    assert pairs(linkage.candidate_graph(a, b, rare=5, prune=0.0).select("x", "y")) == {("S1-1", "S2-x")}
+    a, b = (linkage.described(spark.createDataFrame(rows, SIX), "entity_id", "business_name", "business_address", LEXICON).persist() for rows in (left, right))
+    assert pairs(linkage.candidate_graph(a, b, prune=0.0).select("x", "y")) == {("S1-1", "S2-x")}
 
 
 def test_single_words_up_to_two_edits_apart(spark):
@@ -228,5 +288,5 @@ def test_single_words_up_to_two_edits_apart(spark):
     rows = [("S2-1", "Zenith Textiles"), ("S3-1", "Zenth Textiles"), ("S3-2", "Zenith Hardware")]
     assert pairs(names.variant_pairs(spark.createDataFrame(rows, "k string, n string"), "k", "n")) == {("S2-1", "S3-1")}
     left, right = [("S1-1", "Deradu Garaje Dental Care", None)], [("S2-1", "Deradu Garaje Dental Care Co", "5 Mavutu Road, Noseville"), ("S2-2", "Deraud Garaje Dental Care", None)]
-    links = linkage.linked(spark.createDataFrame(left, SIX), spark.createDataFrame(right, SIX), "entity_id", "business_name", "business_address")
+    links = linkage.linked(spark.createDataFrame(left, SIX), spark.createDataFrame(right, SIX), "entity_id", "business_name", "business_address", LEXICON)
     assert pairs(links.select("left_id", "right_id")) == {("S1-1", "S2-1"), ("S1-1", "S2-2")}
