@@ -32,6 +32,8 @@ BLOCK = 2000
 EDITS = 2
 #: Letters of each end of a long word that its keys are made of, and the least letters of a single word with two edits.
 ENDS, TWO_EDITS = 5, 5
+#: Most keys of single words that are sent to every task (8 bytes each); more of them are joined by a shuffle.
+SMALL = 500_000
 #: Letters of a word from which it may have both edits.
 LEAST_TWICE = 4
 #: From so many words on, names meet by all words but two; from so many on, by two that are neighbours in order.
@@ -143,16 +145,30 @@ def shards(core: str) -> Iterator[tuple[str, str]]:
                             seen.add(row)
                             yield row
     if len(words) == 2:
-        # both edits in one word leave the other whole, and of its first or last two letters one
+        # both edits in one word leave the other whole
         for a, b in (words, words[::-1]):
-            if len(b) > 1:
-                for key in {f"^{b[0]}", f"^{b[1]}", f"{b[-1]}$", f"{b[-2]}$"}:
-                    yield f"{a}&{key}", f"{a} {b}"
-    if len(words) <= 2:
-        for glued in {"".join(words), "".join(reversed(words))}:
-            if len(glued) >= 8:
-                yield f"={glued[:5]}", glued
-                yield f"={glued[-5:]}$", glued
+            for key in end_keys(b):
+                yield f"{a}&{key}", f"{a} {b}"
+
+
+def end_keys(word: str) -> set[str]:
+    """Keys of which two words up to two edits apart share one: of both edits at most one touches the first letters, or
+    at most one the last ones, and three letters (two in short words) with one edit share two (one)."""
+    out = set()
+    if len(word) <= 5:
+        out.update((f"^{word[0]}", f"^{word[1:2]}", f"{word[-1]}$", f"{word[-2:-1]}$"))
+    if len(word) >= 4:
+        head, tail = word[:3], word[-3:]
+        for k in range(3):
+            out.update((f"^{head[:k]}{head[k + 1 :]}", f"{tail[:k]}{tail[k + 1 :]}$"))
+    return out
+
+
+def glued_ends(core: str) -> set[str]:
+    """Both ends of one or two words glued together; single words and glued ones share one."""
+    words = core.split(" ")
+    glued = {"".join(words), "".join(reversed(words))} if len(words) <= 2 else ()
+    return {end for x in glued if len(x) >= 8 for end in (f"={x[:5]}", f"={x[-5:]}$")}
 
 
 def _parse(lexicon: R.Lexicon):
@@ -218,14 +234,18 @@ def _walk(rows: list[tuple], most: int) -> Iterator[tuple[str, str, int]]:
         return
     trie = Trie()
     first, second = rows[0][3], rows[0][4]
-    for core, text, block, _, _ in rows:
-        if block == first:
-            trie.add(text, core)
+    if first != second:
+        for core, text, block, _, _ in rows:
+            if block == first:
+                trie.add(text, core)
     for core, text, block, _, _ in rows:
         if block == second:
-            for other, distance in trie.near(text, most):
-                if other != core and (other < core or first != second):
+            for other, distance in trie.near(text, most) if trie.root else ():
+                if other != core:
                     yield (other, core, distance) if other < core else (core, other, distance)
+            if first == second:
+                # each name meets those before it
+                trie.add(text, core)
 
 
 def _walk_single(rows: list[tuple], most: int) -> Iterator[tuple[str, str, int]]:
@@ -272,7 +292,11 @@ def near_cores(cores: DataFrame, most: int = EDITS, block: int = BLOCK) -> DataF
     # glued words need these shards only where a single word stands in them
     singles = placed_in(distinct.where(~F.col("core").contains(" ")).mapInPandas(_single, kind), True)
     glued = placed_in(distinct.where(F.col("core").contains(" ")).mapInPandas(_single, kind), True)
-    entries = cut(entries.unionByName(singles).unionByName(glued.join(singles.select("shard").distinct(), "shard", "left_semi").select(singles.columns)))
+    singles = cut(singles)
+    wanted = singles.select("shard").distinct()
+    if singles.count() <= SMALL:
+        wanted = F.broadcast(wanted)
+    entries = cut(entries.unionByName(singles).unionByName(glued.join(wanted, "shard", "left_semi").select(singles.columns)))
     counts = entries.groupBy("shard", "single").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     blocks = counts.select("shard", "single", F.ceil(F.col("n") / block).cast("int").alias("k"))
     placed = entries.join(blocks, ["shard", "single"]).withColumn("block", F.pmod(F.xxhash64("core"), F.col("k")).cast("int"))
