@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkwright.functions import text as T
+from linkwright.session import cut
 
 KEYS = ["source1_entity_id", "candidate_entity_id", "target_source"]
 SIGNALS = ["name_tfidf", "address_tfidf", "token_tfidf", "dense_score", "exact_name", "exact_address", "exact_name_core", "exact_numbers"]
@@ -46,6 +47,21 @@ def _postings(frame: DataFrame, document: Column, group: list[str]) -> DataFrame
     return exploded.groupBy("entity_id", *group, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def most_frequent(vocabulary: DataFrame, group: list[str], most: int) -> DataFrame:
+    """The ``most`` terms of each group by ``total``, ties at the last place in the order of the terms.
+
+    A histogram of totals gives the last total that is kept; only terms of just that total are ordered.
+    """
+    steps = vocabulary.groupBy(*group, "total").agg(F.count(F.lit(1)).alias("terms"))
+    above = F.sum("terms").over(Window.partitionBy(*group).orderBy(F.col("total").desc()).rowsBetween(Window.unboundedPreceding, -1))
+    steps = steps.withColumn("above", F.coalesce(above, F.lit(0))).where(F.col("above") < most)
+    kept = vocabulary.join(steps, [*group, "total"])
+    whole = kept.where(F.col("above") + F.col("terms") <= most).drop("above", "terms")
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("term"))
+    last = kept.where(F.col("above") + F.col("terms") > most).withColumn("place", place).where(F.col("place") <= most - F.col("above"))
+    return whole.unionByName(last.drop("above", "terms", "place"))
+
+
 def tfidf_lane(
     queries: DataFrame,
     targets: DataFrame,
@@ -68,7 +84,8 @@ def tfidf_lane(
     """
     group = ["country", "target_source"]
     q_tf = _postings(queries, document, ["country"])
-    t_tf = _postings(targets, document, group)
+    # what is used more than once is written once
+    t_tf = cut(_postings(targets, document, group))
     documents = targets if count_empty else targets.where(F.size(document) > 0)
     corpus = documents.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
     vocabulary = t_tf.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
@@ -77,14 +94,13 @@ def tfidf_lane(
         above = (F.col("n") <= most_df) if capped_only_above else F.lit(False)
         vocabulary = vocabulary.where(above | (F.col("df") <= most_df))
     if max_features is not None:
-        place = F.row_number().over(Window.partitionBy(*group).orderBy(F.col("total").desc(), "term"))
-        vocabulary = vocabulary.withColumn("place", place).where(F.col("place") <= max_features)
-    vocabulary = vocabulary.select(*group, "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+        vocabulary = most_frequent(cut(vocabulary), group, max_features)
+    vocabulary = cut(vocabulary.select(*group, "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")))
     weight = (1 + F.log("tf")) * F.col("idf")
     q_raw = q_tf.join(vocabulary, ["country", "term"]).select("entity_id", *group, "term", weight.alias("w"))
     t_raw = t_tf.join(vocabulary, [*group, "term"]).select("entity_id", *group, "term", weight.alias("w"))
-    left = _vectors(q_raw, ["entity_id", *group]).withColumnRenamed("entity_id", KEYS[0])
-    right = _vectors(t_raw, ["entity_id", *group]).withColumnRenamed("entity_id", KEYS[1])
+    left = cut(_vectors(q_raw, ["entity_id", *group]).withColumnRenamed("entity_id", KEYS[0]))
+    right = cut(_vectors(t_raw, ["entity_id", *group]).withColumnRenamed("entity_id", KEYS[1]))
     best = _block_product(left, right, group, top_k, least, digits)
     place = F.row_number().over(Window.partitionBy(KEYS[0], "target_source").orderBy(F.col("similarity").desc(), KEYS[1]))
     return best.withColumn("place", place).where(F.col("place") <= top_k).select(*KEYS, F.col("similarity").alias(signal))
@@ -96,55 +112,104 @@ def _vectors(weights: DataFrame, document: list[str]) -> DataFrame:
     return gathered.select(*document, F.col("items.term").alias("terms"), F.transform("items", lambda x: x["w"] / F.col("norm")).alias("weights"))
 
 
-def _block_product(left: DataFrame, right: DataFrame, group: list[str], top_k: int, least: float, digits: int, q_block: int = 20_000, t_block: int = 50_000) -> DataFrame:
+class Block:
+    """Targets of one block as postings in flat arrays: by term for finding, by target for scoring."""
+
+    def __init__(self, ids: np.ndarray, terms: list[np.ndarray], weights: list[np.ndarray]) -> None:
+        self.ids = ids
+        sizes = np.array([len(x) for x in terms])
+        flat, self.weights = np.concatenate(terms), np.concatenate(weights)
+        self.known, self.numbers = np.unique(flat, return_inverse=True)
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        order = np.argsort(self.numbers, kind="stable")
+        self.owners, self.by_term = np.repeat(np.arange(len(ids)), sizes)[order], self.weights[order]
+        self.ends = np.cumsum(np.bincount(self.numbers, minlength=len(self.known)))
+        self.most = np.maximum.reduceat(self.by_term, np.concatenate([[0], self.ends[:-1]]))
+        self.query = np.zeros(len(self.known))
+
+    def _sums(self, hits: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Targets that hold any of these terms, with the sums of what they share."""
+        starts = np.where(hits > 0, self.ends[hits - 1], 0)
+        places = np.concatenate([self.owners[s:e] for s, e in zip(starts, self.ends[hits])])
+        parts = np.concatenate([self.by_term[s:e] * w for s, e, w in zip(starts, self.ends[hits], weights)])
+        if 8 * len(places) < len(self.ids):
+            found, inverse = np.unique(places, return_inverse=True)
+            return found, np.bincount(inverse, parts)
+        sums = np.bincount(places, parts, len(self.ids))
+        found = np.flatnonzero(sums)
+        return found, sums[found]
+
+    def best(self, terms: np.ndarray, weights: np.ndarray, top_k: int, least: float, digits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and scores of the best targets of a query.
+
+        Frequent terms that together cannot lift a target to ``least`` find none; they only add to the scores of
+        targets that the other terms have found and that can still be among the best.
+        """
+        at = np.minimum(np.searchsorted(self.known, terms), len(self.known) - 1)
+        own = self.known[at] == terms
+        at, weights = at[own], weights[own]
+        if not len(at):
+            return at, weights
+        bounds, half = weights * self.most[at], 0.5 * 10.0**-digits
+        order = np.argsort(-bounds, kind="stable")
+        rest = np.cumsum(bounds[order][::-1])[::-1]
+        finding = int(np.count_nonzero(rest >= least - half - 1e-9))
+        if not finding:
+            return at[:0], weights[:0]
+        found, scores = self._sums(at[order[:finding]], weights[order[:finding]])
+        if finding < len(at):
+            bar = least if len(found) <= top_k else max(least, -np.partition(-scores, top_k - 1)[top_k - 1])
+            found = found[scores >= bar - rest[finding] - half - 1e-9]
+            self.query[at] = weights
+            sizes = self.starts[found + 1] - self.starts[found]
+            first = np.cumsum(sizes) - sizes
+            index = np.repeat(self.starts[found] - first, sizes) + np.arange(sizes.sum())
+            scores = np.add.reduceat(self.query[self.numbers[index]] * self.weights[index], first) if len(found) else scores[:0]
+            self.query[at] = 0
+        scores = np.round(scores, digits)
+        good = np.flatnonzero((scores >= least) & (scores > 0))
+        if len(good) > top_k:
+            last = -np.partition(-scores[good], top_k - 1)[top_k - 1]
+            good = good[scores[good] >= last]
+        # targets stand in the order of their ids, so a stable sort puts the smaller id first
+        good = good[np.argsort(-scores[good], kind="stable")[:top_k]]
+        return found[good], scores[good]
+
+
+def _block_product(left: DataFrame, right: DataFrame, group: list[str], top_k: int, least: float, digits: int, q_block: int = 50_000, t_block: int = 200_000) -> DataFrame:
     """The best ``top_k`` targets of each query within each block of targets, by dot product.
 
     Queries and targets of a partition are cut into blocks of bounded size by hash, and every pair of blocks is one
-    task that adds up postings in flat arrays. What crosses the network is a vector per block of the other side, not a
-    row per common term, and a frequent term costs additions only.
+    task. What crosses the network is a vector per block of the other side, not a row per common term: a target
+    ``queries / q_block`` times, a query ``targets / t_block`` times. Inside a task only postings of shared terms are
+    touched. Few queries are cut into smaller blocks, so that all cores have work.
     """
+    cores = left.sparkSession.sparkContext.defaultParallelism
 
-    def blocked(frame: DataFrame, key: str, size: int, own: str) -> tuple[DataFrame, DataFrame]:
+    def blocked(frame: DataFrame, key: str, size: Column, own: str) -> tuple[DataFrame, DataFrame]:
         counts = frame.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(f"{own}_blocks"))
         placed = frame.join(counts, group).withColumn(own, F.pmod(F.xxhash64(key), F.col(f"{own}_blocks")).cast("int")).drop(f"{own}_blocks")
         return placed, counts
 
-    q, q_counts = blocked(left, KEYS[0], q_block, "qb")
-    t, t_counts = blocked(right, KEYS[1], t_block, "tb")
+    spread = F.least(F.lit(q_block), F.greatest(F.lit(500), F.ceil(F.count(F.lit(1)) / cores)))
+    q, q_counts = blocked(left, KEYS[0], spread, "qb")
+    t, t_counts = blocked(right, KEYS[1], F.lit(t_block), "tb")
     q = q.join(t_counts, group).withColumn("tb", F.explode(F.sequence(F.lit(0), F.col("tb_blocks") - 1))).drop("tb_blocks")
     t = t.join(q_counts, group).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qb_blocks") - 1))).drop("qb_blocks")
+    columns = [KEYS[0], KEYS[1], "target_source", "similarity"]
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        columns = [KEYS[0], KEYS[1], "target_source", "similarity"]
-        if a.empty or b.empty:
-            return pd.DataFrame({c: pd.Series(dtype="float64" if c == "similarity" else "object") for c in columns})
-        b = b.sort_values(KEYS[1], kind="stable")
-        ids, source = b[KEYS[1]].to_numpy(), b["target_source"].iloc[0]
-        sizes = b["terms"].map(len).to_numpy()
-        terms, weights = np.concatenate(b["terms"].to_numpy()), np.concatenate(b["weights"].to_numpy())
-        order = np.argsort(terms, kind="stable")
-        owners, weights = np.repeat(np.arange(len(b)), sizes)[order], weights[order]
-        known, starts = np.unique(terms[order], return_index=True)
-        ends = np.append(starts[1:], len(owners))
         out = []
-        for key, own_terms, own_weights in zip(a[KEYS[0]], a["terms"], a["weights"]):
-            at = np.minimum(np.searchsorted(known, own_terms), len(known) - 1)
-            hits = np.flatnonzero(known[at] == own_terms)
-            if not len(hits):
-                continue
-            spans = [slice(starts[at[i]], ends[at[i]]) for i in hits]
-            places = np.concatenate([owners[s] for s in spans])
-            parts = np.concatenate([weights[s] * own_weights[i] for s, i in zip(spans, hits)])
-            scores = np.round(np.bincount(places, parts, len(ids)), digits)
-            found = np.flatnonzero((scores >= least) & (scores > 0))
-            if len(found) > top_k:
-                last = -np.partition(-scores[found], top_k - 1)[top_k - 1]
-                found = found[scores[found] >= last]
-            best = found[np.argsort(-scores[found], kind="stable")[:top_k]]
-            out.append((np.full(len(best), key, object), ids[best], scores[best]))
+        if len(a) and len(b):
+            b = b.sort_values(KEYS[1], kind="stable")
+            block = Block(b[KEYS[1]].to_numpy(), list(b["terms"]), list(b["weights"]))
+            for key, terms, weights in zip(a[KEYS[0]], a["terms"], a["weights"]):
+                places, scores = block.best(terms, weights, top_k, least, digits)
+                if len(places):
+                    out.append((np.full(len(places), key, object), block.ids[places], scores))
         if not out:
-            return run(a.iloc[:0], b)
-        return pd.DataFrame({columns[0]: np.concatenate([x[0] for x in out]), columns[1]: np.concatenate([x[1] for x in out]), columns[2]: source, columns[3]: np.concatenate([x[2] for x in out])})
+            return pd.DataFrame({c: pd.Series(dtype="float64" if c == "similarity" else "object") for c in columns})
+        return pd.DataFrame(dict(zip(columns, (np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out]), b["target_source"].iloc[0], np.concatenate([x[2] for x in out])))))
 
     keys = [*group, "qb", "tb"]
     # both sides come from one frame; new names for their columns tell them apart

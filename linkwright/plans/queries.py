@@ -14,6 +14,7 @@ from linkwright.operators import candidates as C
 from linkwright.operators import dense, metrics, multivalue, profile, sampling, submission
 from linkwright.operators import features as X
 from linkwright.plans import sql
+from linkwright.session import cut
 from linkwright.sources.tables import country_slug
 
 SOURCES = {"source1": "train_source1", "source2": "train_source2", "source3": "train_source3"}
@@ -56,12 +57,13 @@ def known_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def merged(spark: SparkSession, folder: str) -> DataFrame:
-    queries, targets = sides(records(spark, folder))
+    # every lane reads the views
+    queries, targets = sides(cut(records(spark, folder)))
     return C.merge_lanes([*C.exact_lanes(queries, targets), C.token_lane(queries, targets)])
 
 
 def capped(spark: SparkSession, folder: str) -> DataFrame:
-    return C.cap_candidates(C.cap_candidates(merged(spark, folder), sql.MOST, True), sql.MOST, False)
+    return cut(C.cap_candidates(C.cap_candidates(merged(spark, folder), sql.MOST, True), sql.MOST, False))
 
 
 def ranked(spark: SparkSession, folder: str) -> DataFrame:
