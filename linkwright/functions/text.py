@@ -70,6 +70,60 @@ def fold_accents(norm: Column | str) -> Column:
     return _past_ascii(value, _folded, value)
 
 
+@lru_cache(maxsize=65536)
+def _roman(char: str) -> tuple[str, bool, bool]:
+    """Latin letters of one character, whether a vowel that goes with it is replaced, and whether it carries one."""
+    name = unicodedata.name(char, "")
+    if "VIRAMA" in name:
+        return "", True, False
+    if "VOWEL SIGN" in name:
+        return name.split("VOWEL SIGN ")[1].split()[-1].lower(), True, False
+    if "ANUSVARA" in name or "CANDRABINDU" in name:
+        return "n", False, False
+    if " LETTER " in name:
+        said = name.split(" LETTER ")[1].split(" WITH ")[0].split()[-1].lower()
+        carries = len(said) > 1 and said.endswith("a")
+        # alphabets name their letters, syllabic scripts say them
+        alphabet = name.startswith(("GREEK", "CYRILLIC", "HEBREW", "ARABIC", "LATIN"))
+        if alphabet and name.startswith("CYRILLIC"):
+            spoken = "" if said == "sign" else said if said.startswith("y") else "".join(c for c in said if c not in "aeiou") or said[-1]
+            return spoken, False, False
+        return (said[:1] if alphabet else said, False, carries and not alphabet)
+    return (char if char.isalnum() and not unicodedata.combining(char) else " " if char.isspace() else "", False, False)
+
+
+def roman(text: str) -> str:
+    """Text in Latin letters by the Unicode names of its characters; Latin text only loses its accents."""
+    out: list[str] = []
+    open_vowel = False
+    for char in text:
+        if char.isascii():
+            said, replaces, carries = char, False, False
+        else:
+            said, replaces, carries = _roman(char)
+        if replaces and open_vowel:
+            out[-1] = out[-1][:-1]
+        elif open_vowel and not char.isalpha() and not unicodedata.combining(char):
+            out[-1] = out[-1][:-1]
+        if said or not replaces:
+            out.append(said)
+        open_vowel = carries
+    if open_vowel and out:
+        out[-1] = out[-1][:-1]
+    return "".join(out)
+
+
+@F.pandas_udf(StringType())
+def _romanized(values: pd.Series) -> pd.Series:
+    return values.map(lambda v: None if v is None else roman(v))
+
+
+def romanized(column: Column | str) -> Column:
+    """The text in Latin letters, so that names in different scripts share n-grams."""
+    value = text(column)
+    return _past_ascii(value, _romanized, value)
+
+
 def unicode_form(column: Column | str, form: str) -> Column:
     """NFC, NFD, NFKC or NFKD of the text."""
     if form not in ("NFC", "NFD", "NFKC", "NFKD"):

@@ -221,7 +221,8 @@ def token_lane(queries: DataFrame, targets: DataFrame, top_k: int = 12, least: f
     """Cosine over name words, address words and numbers as one document; ``buckets`` hashes the terms."""
     document = T.token_document("name_punct", "address_punct")
     if buckets:
-        document = F.transform(document, lambda t: F.pmod(F.hash(t), F.lit(buckets)).cast("string"))
+        # a hash that any engine can compute
+        document = F.transform(document, lambda t: (F.conv(F.substring(F.md5(t), 1, 12), 16, 10).cast("long") % buckets).cast("string"))
     return tfidf_lane(queries, targets, document, "token_tfidf", top_k, least, most_df)
 
 
@@ -256,11 +257,14 @@ def cap_candidates(pairs: DataFrame, most: int, per_target: bool) -> DataFrame:
 
 
 def generate(queries: DataFrame, targets: DataFrame, config: dict) -> DataFrame:
-    """All enabled lanes, merged and capped per target and then over both targets."""
+    """All enabled lanes, merged and capped per target and then over both targets.
+
+    ``token_hash_features`` terms are hashed to so many buckets in the token lane; 0 keeps the terms themselves.
+    """
     c = config
     lanes = exact_lanes(queries, targets, c["max_exact_block_size"], c["max_candidates_per_query"])
     if c["method"] == "token_hash":
-        lanes.append(token_lane(queries, targets, c["token_top_k"], c["token_min_similarity"], c["max_tfidf_document_frequency"]))
+        lanes.append(token_lane(queries, targets, c["token_top_k"], c["token_min_similarity"], c["max_tfidf_document_frequency"], c["token_hash_features"] or None))
         if c["token_address_top_k"] > 0:
             lanes.append(address_token_lane(queries, targets, c["token_address_top_k"], c["token_min_similarity"], c["token_address_max_document_frequency"]))
     elif c["method"] == "char_tfidf":

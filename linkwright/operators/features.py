@@ -9,14 +9,38 @@ from linkwright.functions import text as T
 from linkwright.functions.similarity import ratio_udf, token_set_ratio_udf
 from linkwright.operators.candidates import KEYS
 
-FEATURES = """
-name_retrieval_lane address_retrieval_lane token_retrieval_lane dense_retrieval_lane retrieval_rank_score
-dense_score exact_name exact_address exact_name_core exact_numbers
-name_ratio address_ratio name_token_set_ratio address_token_set_ratio
-name_jaccard address_jaccard number_jaccard postal_exact name_exact_normalized name_core_exact address_exact_normalized
-country_equal name_script_equal cross_script_name query_address_missing candidate_address_missing
-name_length_ratio address_length_ratio target_is_source3
-""".split()
+# The features in the order of the model's vector.
+FEATURES = [
+    "name_retrieval_lane",
+    "address_retrieval_lane",
+    "token_retrieval_lane",
+    "dense_retrieval_lane",
+    "retrieval_rank_score",
+    "dense_score",
+    "exact_name",
+    "exact_address",
+    "exact_name_core",
+    "exact_numbers",
+    "name_ratio",
+    "name_token_set_ratio",
+    "name_jaccard",
+    "address_ratio",
+    "address_token_set_ratio",
+    "address_jaccard",
+    "number_jaccard",
+    "postal_exact",
+    "name_exact_normalized",
+    "name_core_exact",
+    "address_exact_normalized",
+    "country_equal",
+    "name_script_equal",
+    "cross_script_name",
+    "query_address_missing",
+    "candidate_address_missing",
+    "name_length_ratio",
+    "address_length_ratio",
+    "target_is_source3",
+]
 VIEWS = "name_norm name_punct name_core address_norm address_punct address_numbers postal_token name_script country".split()
 
 

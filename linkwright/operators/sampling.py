@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 ENTITY = "source1_entity_id"
 
 
+def digest(key: str, seed: int = 0) -> Column:
+    """A hash that any engine can compute: orders and splits made from it can be checked elsewhere."""
+    return F.md5(F.concat_ws("|", F.coalesce(key, F.lit("")), F.lit(str(seed))))
+
+
 def sample_per_group(frame: DataFrame, group: str, key: str, size: int, seed: int = 0) -> DataFrame:
     """Exactly ``size`` rows of each group (all of a smaller one), the same on every run."""
-    order = Window.partitionBy(group).orderBy(F.xxhash64(key, F.lit(seed)), key)
+    order = Window.partitionBy(group).orderBy(digest(key, seed), key)
     return frame.withColumn("place", F.row_number().over(order)).where(F.col("place") <= size).drop("place")
 
 
 def reservoir(frame: DataFrame, key: str, size: int = 1000, seed: int = 0) -> DataFrame:
-    return frame.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(size)
+    return frame.orderBy(digest(key, seed), key).limit(size)
 
 
 def split_label(position: Column, validation: float, holdout: float) -> Column:
@@ -25,7 +30,8 @@ def split_label(position: Column, validation: float, holdout: float) -> Column:
 
 
 def hash_position(key: str, seed: int = 0) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(key, F.lit(seed)), 11) / F.lit(float(1 << 53))
+    """Position by the first 52 bits of the digest."""
+    return F.conv(F.substring(digest(key, seed), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
 def keyed_position(key: str, seed: int = 0) -> Column:
@@ -53,4 +59,4 @@ def sample_query_groups(rows: DataFrame, most_rows: int, seed: int = 0) -> DataF
     if total <= most_rows:
         return rows
     count = max(1, int(most_rows / (total / queries)))
-    return rows.join(sizes.select(ENTITY).orderBy(F.xxhash64(ENTITY, F.lit(seed)), ENTITY).limit(count), ENTITY, "left_semi")
+    return rows.join(sizes.select(ENTITY).orderBy(digest(ENTITY, seed), ENTITY).limit(count), ENTITY, "left_semi")

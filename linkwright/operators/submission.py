@@ -30,17 +30,31 @@ def subset_violations(matches: DataFrame, candidates: DataFrame) -> DataFrame:
     return matches.select(ENTITY, TARGET).distinct().join(candidates.select(ENTITY, TARGET).distinct(), [ENTITY, TARGET], "left_anti")
 
 
+def links(rows: DataFrame, column: str) -> DataFrame:
+    """The listed ids as links."""
+    return rows.select(ENTITY, F.explode(list_ids(column)).alias(TARGET))
+
+
 def relation(matches: DataFrame, candidates: DataFrame) -> dict[str, int]:
-    """Totals of two list files; raises ``ValueError`` when their entities differ or a match is no candidate."""
-    a, b = matches.select(ENTITY, F.explode_outer(list_ids(MATCHED)).alias(TARGET)), candidates.select(ENTITY, F.explode_outer(list_ids("candidate_entity_ids")).alias(TARGET))
-    for one, other in ((a, b), (b, a)):
-        if not one.select(ENTITY).distinct().join(other.select(ENTITY).distinct(), ENTITY, "left_anti").isEmpty():
-            raise ValueError("the two outputs hold different entities")
-    if not subset_violations(a.where(F.col(TARGET).isNotNull()), b.where(F.col(TARGET).isNotNull())).isEmpty():
+    """Totals of two list files; raises ``ValueError`` when their entities differ or a match is no candidate.
+
+    One pass: both lists meet on their entity, and a list of ids is compared as a set.
+    """
+    a = matches.select(ENTITY, F.array_distinct(list_ids(MATCHED)).alias("matched"))
+    b = candidates.select(ENTITY, F.array_distinct(list_ids("candidate_entity_ids")).alias("listed"))
+    both = a.join(b, ENTITY, "full_outer")
+    r = both.agg(
+        F.count_if(F.col("matched").isNull() | F.col("listed").isNull()).alias("apart"),
+        F.count_if(F.size(F.array_except("matched", "listed")) > 0).alias("outside"),
+        F.countDistinct(ENTITY).alias("entities"),
+        F.coalesce(F.sum(F.size("matched")), F.lit(0)).alias("matched_links"),
+        F.coalesce(F.sum(F.size("listed")), F.lit(0)).alias("candidate_links"),
+    ).first()
+    if r["apart"]:
+        raise ValueError("the two outputs hold different entities")
+    if r["outside"]:
         raise ValueError("a match is no candidate")
-    count = lambda f: (f.select(ENTITY).distinct().count(), f.where(F.col(TARGET).isNotNull()).count())
-    (rows, links), (_, pairs) = count(a), count(b)
-    return {"entities": rows, "matched_links": links, "candidate_links": pairs}
+    return {k: r[k] for k in ("entities", "matched_links", "candidate_links")}
 
 
 def combine_parts(parts: list[DataFrame]) -> DataFrame:
@@ -86,16 +100,20 @@ def report(rows: DataFrame, required: DataFrame | None = None, known: DataFrame
     return distinct.groupBy("category").agg(F.count(F.lit(1)).alias("offenders")).join(first, "category")
 
 
-def file_report(lines: DataFrame, header: list[str]) -> list[str]:
-    """Errors of the raw lines of a list file (column ``value``): empty file, commas for tabs, wrong header, rows without a tab."""
+def file_report(lines: DataFrame, header: list[str], examples: int = EXAMPLES) -> list[str]:
+    """Errors of the raw lines of a list file (column ``value``): no UTF-8, empty file, commas for tabs, wrong header,
+    and rows without a tab with the first of them."""
     numbered = lines.where(F.trim("value") != "")
+    if broken := numbered.where(~F.is_valid_utf8("value")).count():
+        return [f"{broken} lines are not UTF-8"]
     first = numbered.limit(1).collect()
     if not first:
         return ["the file is empty"]
-    head = first[0]["value"].lstrip("﻿")
+    head = first[0]["value"].lstrip("\ufeff").rstrip("\r")
     if "\t" not in head and "," in head:
         return ["the file is separated by commas, not tabs"]
     if [c.strip().lower() for c in head.split("\t")] != [h.lower() for h in header]:
         return [f"the header is not {header}"]
-    bad = numbered.where(~F.col("value").contains("\t")).count()
-    return [f"{bad} rows without a tab"] if bad else []
+    bad = numbered.where(~F.col("value").contains("\t"))
+    count = bad.count()
+    return [f"{count} rows without a tab", *(f"without a tab: {r[0]}" for r in bad.orderBy("value").limit(examples).collect())] if count else []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -14,8 +15,9 @@ from linkwright.operators import candidates as C
 from linkwright.operators import dense, metrics, multivalue, profile, sampling, submission
 from linkwright.operators import features as X
 from linkwright.plans import sql
-from linkwright.session import cut
+from linkwright.session import cut, shared_folder
 from linkwright.sources.tables import country_slug
+from linkwright.streaming import ingest
 
 SOURCES = {"source1": "train_source1", "source2": "train_source2", "source3": "train_source3"}
 ENTITY, TARGET = "source1_entity_id", "candidate_entity_id"
@@ -161,7 +163,8 @@ def candidate_recall(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def exact_features(spark: SparkSession, folder: str) -> DataFrame:
-    chosen = """name_jaccard address_jaccard number_jaccard postal_exact name_exact_normalized name_core_exact address_exact_normalized
+    chosen = """name_retrieval_lane address_retrieval_lane token_retrieval_lane dense_retrieval_lane retrieval_rank_score dense_score
+    exact_name exact_address exact_name_core exact_numbers name_script_equal cross_script_name name_jaccard address_jaccard number_jaccard postal_exact name_exact_normalized name_core_exact address_exact_normalized
     country_equal query_address_missing candidate_address_missing name_length_ratio address_length_ratio target_is_source3""".split()
     return featured(spark, folder).select(*C.KEYS, *[F.round(F.col(c).cast("double"), 4).alias(c) for c in chosen])
 
@@ -244,8 +247,21 @@ def unique_deliveries(spark: SparkSession, folder: str) -> DataFrame:
     return rows.groupBy("entity_id", "recorded_at").agg(F.min("delivered_at").alias("first_delivered_at"))
 
 
+def first_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream of deliveries without repeats, run until no file is left, as ``(entity_id, recorded_at)``."""
+    path = f"{folder}/source_deliveries.parquet"
+    # a pattern reads the table as one file or as a folder of files
+    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]")
+    out = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    unique = ingest.first_deliveries(source).select("entity_id", "recorded_at")
+    writer = unique.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state")
+    query = writer.outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(unique.schema).parquet(f"{out}/rows")
+
+
 def group_split(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.group_split(truth(spark, folder)[0], parity=True)
+    return sampling.group_split(truth(spark, folder)[0])
 
 
 def sampled_queries(spark: SparkSession, folder: str) -> DataFrame:
@@ -288,7 +304,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "number_signature": view_query(lambda: ["address_numbers"]),
         "postal_token": view_query(lambda: ["postal_token"]),
         "token_document": view_query(lambda: [F.array_join(T.token_document("name_punct", "address_punct"), " ").alias("document")]),
-        "char_ngrams": view_query(lambda: [F.size(T.char_ngrams("name_punct")).alias("grams"), F.size(F.array_distinct(T.char_ngrams("name_punct"))).alias("distinct_grams")]),
+        "char_ngrams": view_query(lambda: [F.array_join(F.array_sort(T.char_ngrams("name_punct")), "~").alias("grams")]),
         "country_slug": view_query(lambda: [F.col("country").alias("country_slug")]),
         "fold_accents": view_query(lambda: ["name_ascii"]),
         "script_signature": view_query(lambda: ["name_script", "address_script", "has_non_latin_name"]),
@@ -334,8 +350,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "group_split": group_split,
         "sampled_queries": sampled_queries,
         "unicode_forms": unicode_forms,
+        "unicode_strips": view_query(lambda: [T.unicode_form("business_name", "NFC").alias("nfc"), T.strip_punctuation("business_name").alias("no_punctuation"), T.strip_marks("business_name").alias("no_marks")]),
         "deliveries_per_day": deliveries_per_day,
         "unique_deliveries": unique_deliveries,
+        "first_deliveries": first_deliveries,
+        "deliveries_per_window": lambda s, d: rounded(ingest.deliveries_per_window(table(s, d, "source_deliveries")).withColumn("window_start", F.col("window_start").cast("timestamp_ntz")), "mean_delay_seconds"),
         "gbt_score": gbt_score,
     }
     for view, signal in C.EXACT.items():

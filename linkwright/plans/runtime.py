@@ -16,28 +16,37 @@ from linkwright.plans.config import config_hash
 from linkwright.sources.tables import write_json
 
 
-class Budget:
-    """Minutes of a run, some of them kept back for writing results."""
-
-    def __init__(self, total: float, reserve: float, clock=time.monotonic) -> None:
-        self.total, self.reserve, self.clock = total, reserve, clock
-        self.started = clock()
-
-    def elapsed(self) -> float:
-        return (self.clock() - self.started) / 60
-
-    def remaining(self) -> float:
-        return max(0.0, self.total - self.elapsed())
-
-    def require(self, stage: str, minutes: float, optional: bool = False) -> None:
-        """Raises ``TimeoutError`` where the stage's estimate exceeds what is left; an optional stage leaves the reserve alone."""
-        left = self.remaining() - (self.reserve if optional else 0)
-        if minutes > left:
-            raise TimeoutError(f"{stage} needs {minutes:g} minutes, {left:.1f} are left")
-
-    def deadline(self) -> float:
-        """Seconds until the reserve begins."""
-        return max(0.0, (self.remaining() - self.reserve) * 60)
+class Deadlines:
+    """The two moments that bound a run: ``stop``, when nothing new is computed, and ``end``, when all is written.
+
+    Stages are timed, and the seconds a row took foretell how long the same stage takes on other rows; a stage that has
+    not run yet foretells nothing.
+    """
+
+    def __init__(self, minutes: float, minutes_for_output: float, now=time.monotonic) -> None:
+        self.now = now
+        self.end = now() + 60 * minutes
+        self.stop = self.end - 60 * minutes_for_output
+        self.pace: dict[str, float] = {}
+
+    def seconds_left(self) -> float:
+        """Until ``stop``."""
+        return max(0.0, self.stop - self.now())
+
+    def forecast(self, stage: str, rows: int) -> float:
+        return self.pace.get(stage, 0.0) * rows
+
+    @contextmanager
+    def stage(self, spark: SparkSession, name: str, rows: int, to_end: bool = False):
+        """Runs a stage over so many rows. One that cannot be done in time raises ``TimeoutError`` before it begins,
+        and one that is not done in time is cancelled."""
+        began = self.now()
+        left = (self.end if to_end else self.stop) - began
+        if left <= 0 or self.forecast(name, rows) > left:
+            raise TimeoutError(f"{name} would take {self.forecast(name, rows):.0f} s of {max(left, 0):.0f} s")
+        with deadline(spark, left, f"stage-{name}"):
+            yield
+        self.pace[name] = (self.now() - began) / max(1, rows)
 
 
 @contextmanager
@@ -90,5 +99,5 @@ def write_metadata(spark: SparkSession, config: dict, path: str, folder: str = "
         "spark": spark.version,
         "cores": spark.sparkContext.defaultParallelism,
     }
-    write_json(values, path)
+    write_json(values, path, spark)
     return values

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from linkwright.functions.text import LEGAL_SUFFIXES
+from unicodedata import combining, normalize
+
+from linkwright.functions.text import LEGAL_SUFFIXES, SCRIPTS, WIDE_SCRIPTS
 
 # Compatibility forms that the tables hold: other width, joined letters, and the final sigma and sharp s of case folding.
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
 _NARROW = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)).replace("'", "''")
+# Accented Latin letters with the letter each stands on, and the combining marks of the scripts that the tables hold.
+_FOLDED = {c: b for c in map(chr, (*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000))) if len(b := "".join(x for x in normalize("NFKD", c) if not combining(x))) == 1 and b != c}
+_ACCENTED, _BARE = "".join(_FOLDED), "".join(_FOLDED.values())
+_MARKS = "".join(c for c in map(chr, (*range(0x300, 0x370), *range(0x900, 0x980))) if combining(c))
 _SPACE = r"[\s\p{Z}\x1c-\x1f\x85]+"
 _PAIRS = "source1_entity_id, candidate_entity_id, target_source"
 
@@ -28,6 +34,24 @@ def tokens(x: str) -> str:
     return f"regexp_extract_all({x}, '[\\p{{L}}\\p{{N}}_]+')"
 
 
+def scripts_in(x: str, scripts: list[str]) -> str:
+    """The sorted scripts of the letters of a text; wide and joined forms are letters of another script."""
+    wide = "[Ａ-Ｚａ-ｚ]"
+    names = {s: {"CJK": "Han"}.get(s, s.capitalize()) for s in scripts}
+    tests = [f"CASE WHEN regexp_matches(regexp_replace({x}, '{wide}', '', 'g'), '[\\p{{{name}}}]') AND regexp_matches(regexp_replace({x}, '{wide}|[^\\p{{{name}}}]', '', 'g'), '\\p{{L}}') THEN '{s}' END" for s, name in names.items()]
+    others = "".join(f"\\p{{{name}}}" for name in names.values())
+    tests.append(f"CASE WHEN regexp_matches({x}, '{wide}') OR regexp_matches(regexp_replace({x}, '[{others}]', '', 'g'), '\\p{{L}}') THEN 'OTHER' END")
+    return f"list_sort(list_filter([{', '.join(tests)}], lambda s: s IS NOT NULL))"
+
+
+def signature(x: str) -> str:
+    return f"CASE WHEN len({scripts_in(x, SCRIPTS)}) = 0 THEN 'NONE' ELSE array_to_string({scripts_in(x, SCRIPTS)}, '|') END"
+
+
+def digest(key: str, seed: int = 0) -> str:
+    return f"md5({key} || '|{seed}')"
+
+
 def jaccard(a: str, b: str, empty: str) -> str:
     union = f"len(list_distinct(list_concat({a}, {b})))"
     return f"CASE WHEN {union} = 0 THEN {empty} ELSE len(list_intersect(list_distinct({a}), list_distinct({b}))) * 1.0 / greatest({union}, 1) END"
@@ -123,6 +147,8 @@ def tfidf(document: str, signal: str, top_k: int, least: float, most_df: int, co
 TOKEN = tfidf(token_document("name_punct", "address_punct"), "token_tfidf", 12, 0.01, 5000)
 ADDRESS = tfidf(token_document("''", "address_punct"), "address_tfidf", 20, 0.01, 20000)
 CHAR = tfidf(char_document("name_punct", 3, 5), "name_tfidf", 12, 0.18, 5000, count_empty=False, always=False)
+BUCKETS = 4_194_304
+HASHED = tfidf(f"list_transform({token_document('name_punct', 'address_punct')}, lambda t: CAST(CAST('0x' || substring(md5(t), 1, 12) AS BIGINT) % {BUCKETS} AS VARCHAR))", "token_tfidf", 12, 0.01, 5000)
 MOST_EXACT, MOST = 40, 40
 _SIGNALS = ["name_tfidf", "address_tfidf", "token_tfidf", "dense_score", "exact_name", "exact_address", "exact_name_core", "exact_numbers"]
 _VIEWS = {"name_norm": "exact_name", "address_punct": "exact_address", "name_core": "exact_name_core", "address_numbers": "exact_numbers"}
@@ -220,7 +246,15 @@ FROM (SELECT DISTINCT entity_id, business_address FROM train_source2 WHERE regex
         "number_signature": _record("address_numbers"),
         "postal_token": _record("postal_token"),
         "token_document": _record(f"array_to_string(list_sort({token_document('name_punct', 'address_punct')}), ' ') AS document"),
-        "char_ngrams": _record(f"len({char_document('name_punct', 3, 5)}) AS grams", f"len(list_distinct({char_document('name_punct', 3, 5)})) AS distinct_grams"),
+        "char_ngrams": _record(f"array_to_string(list_sort({char_document('name_punct', 3, 5)}), '~') AS grams"),
+        "fold_accents": _record(f"regexp_replace(translate(name_norm, '{_ACCENTED}', '{_BARE}'), '[{_MARKS}]', '', 'g') AS name_ascii"),
+        "script_signature": _record(f"{signature('business_name')} AS name_script", f"{signature('business_address')} AS address_script", f"len(list_filter({scripts_in('business_name', SCRIPTS)}, lambda s: s <> 'LATIN')) > 0 AS has_non_latin_name"),
+        "script_counts": with_(f"SELECT script, count(*) AS rows FROM (SELECT unnest({scripts_in('business_name', WIDE_SCRIPTS)}) AS script FROM v) GROUP BY 1"),
+        "embedding_text": _record("'query: business name: ' || name_norm || ' | address: ' || address_norm || ' | country: ' || block AS text"),
+        "unicode_strips": _record("nfc_normalize(business_name) AS nfc", "regexp_replace(business_name, '\\p{P}', '', 'g') AS no_punctuation", "regexp_replace(business_name, '\\p{M}', '', 'g') AS no_marks"),
+        "group_split": with_(f"SELECT source1_entity_id, CASE WHEN p < 0.1 THEN 'holdout' WHEN p < 0.2 THEN 'validation' ELSE 'train' END AS split FROM (SELECT *, CAST('0x' || substring({digest('source1_entity_id')}, 1, 13) AS BIGINT) / 4503599627370496.0 AS p FROM entities)"),
+        "sampled_queries": with_(f"SELECT entity_id, block AS country FROM (SELECT *, row_number() OVER (PARTITION BY block ORDER BY {digest('entity_id')}, entity_id) AS place FROM v WHERE src = 'source1') WHERE place <= 50"),
+        "token_hash_topk": with_("SELECT * FROM token_tfidf_lane", HASHED),
         "country_slug": _record("block AS country_slug"),
         "token_jaccard": with_(f"SELECT {keys}, round({jaccard(words['a'][0], words['b'][0], '1.0')}, 6) AS name_jaccard {linked}"),
         "number_jaccard": with_(f"SELECT {keys}, round({jaccard('a.numbers', 'b.numbers', '0.0')}, 6) AS number_jaccard {linked}"),
@@ -257,7 +291,12 @@ FROM (SELECT sum(links) AS total_links, sum(hits) AS recovered_links, count(*) A
   CASE WHEN a.country = b.country THEN 1.0 ELSE 0.0 END AS country_equal,
   CASE WHEN a.address_norm = '' THEN 1.0 ELSE 0.0 END AS query_address_missing, CASE WHEN b.address_norm = '' THEN 1.0 ELSE 0.0 END AS candidate_address_missing,
   {ratio("name_punct", 4)} AS name_length_ratio, {ratio("address_punct", 4)} AS address_length_ratio,
-  CASE WHEN p.target_source = 'source3' THEN 1.0 ELSE 0.0 END AS target_is_source3 {both}""",
+  CASE WHEN p.target_source = 'source3' THEN 1.0 ELSE 0.0 END AS target_is_source3,
+  CASE WHEN name_tfidf > 0 THEN 1.0 ELSE 0.0 END AS name_retrieval_lane, CASE WHEN address_tfidf > 0 THEN 1.0 ELSE 0.0 END AS address_retrieval_lane,
+  CASE WHEN token_tfidf > 0 THEN 1.0 ELSE 0.0 END AS token_retrieval_lane, CASE WHEN dense_score > 0 THEN 1.0 ELSE 0.0 END AS dense_retrieval_lane,
+  round(retrieval_rank_score, 4) AS retrieval_rank_score, dense_score, exact_name, exact_address, exact_name_core, exact_numbers,
+  CASE WHEN {signature("a.business_name")} = {signature("b.business_name")} THEN 1.0 ELSE 0.0 END AS name_script_equal,
+  CASE WHEN {signature("a.business_name")} <> {signature("b.business_name")} AND 'NONE' NOT IN ({signature("a.business_name")}, {signature("b.business_name")}) THEN 1.0 ELSE 0.0 END AS cross_script_name {both}""",
             TOKEN,
             MERGED,
             RANKED,
@@ -308,6 +347,8 @@ FROM (SELECT sum(links) AS total_links, sum(hits) AS recovered_links, count(*) A
         ),
         "dense_topk": "SELECT query_id, target_id, similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, target_id) AS place FROM (SELECT q.vec_id AS query_id, t.vec_id AS target_id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(t.embedding AS DOUBLE[])), 5) AS similarity FROM embeddings q, embeddings t WHERE q.vec_id % 20 = 0)) WHERE place <= 10",
         "deliveries_per_day": "SELECT date_trunc('day', delivered_at) AS window_start, coalesce(feed_code, 'unknown') AS feed_code, count(*) AS deliveries FROM source_deliveries GROUP BY ALL",
+        "first_deliveries": "SELECT DISTINCT entity_id, recorded_at FROM source_deliveries WHERE recorded_at IS NOT NULL",
+        "deliveries_per_window": "SELECT date_trunc('day', delivered_at) AS window_start, coalesce(feed_code, 'unknown') AS feed_code, count(*) AS deliveries, round(avg(epoch(date_trunc('second', delivered_at)) - epoch(date_trunc('second', recorded_at))), 6) AS mean_delay_seconds FROM source_deliveries GROUP BY ALL",
         "unique_deliveries": "SELECT entity_id, recorded_at, min(delivered_at) AS first_delivered_at FROM source_deliveries WHERE recorded_at IS NOT NULL GROUP BY ALL",
     }
     for view, signal in _VIEWS.items():

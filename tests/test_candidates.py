@@ -118,3 +118,68 @@ def test_only_cross_script_pairs_are_reranked(spark):
 
     rows = dense.semantic_lane(pairs, q, t, encode, 3).collect()
     assert [(r["candidate_entity_id"], round(r["dense_score"], 4)) for r in rows] == [("S2-1", 0.8)]
+
+
+def test_shards(spark, tmp_path):
+    records = spark.createDataFrame(
+        [("S2-1", "गोहुको योबिवु", "5 mavutu road", "india", True), ("S2-2", "पुयेमान लुलेकान", "9 other lane", "india", True), ("S2-3", "gohuko", "x", "india", False)],
+        "entity_id string, name_norm string, address_norm string, country string, has_non_latin_name boolean",
+    )
+    queries = spark.createDataFrame([("S1-1", "gohuko yobivu", "5 mavutu road", "india", False)], records.schema)
+    encode = dense.ngram_encoder()
+    dense.write_shards(records, encode, f"{tmp_path}/t", non_latin_only=True)
+    dense.write_shards(queries, encode, f"{tmp_path}/q")
+    assert dense.read_shards(spark, f"{tmp_path}/t").count() == 2
+    rows = dense.lane_from_shards(spark, f"{tmp_path}/q", f"{tmp_path}/t", "source2", 2).collect()
+    assert [r["candidate_entity_id"] for r in sorted(rows, key=lambda r: -r["dense_score"])] == ["S2-1", "S2-2"] and max(r["dense_score"] for r in rows) > 0.8
+    assert dense.lane_from_shards(spark, f"{tmp_path}/none", f"{tmp_path}/t", "source2", 2).isEmpty()
+
+
+def test_nearest_against_brute_force(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    vectors = rng.integers(-1, 2, (200, 3)).astype(float)  # many ties
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "id long, v array<double>").repartition(5)
+    unit = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
+    similar = np.round(unit @ unit.T, 6)
+    expected = {(q, int(t)) for q in range(40) for t in np.lexsort((np.arange(200), -similar[q]))[:7]}
+    for block in (4096, 16):
+        got = dense.nearest(frame.where("id < 40"), frame, "id", "v", 7, block=block)
+        assert {(r[0], r[1]) for r in got.collect()} == expected
+
+
+def test_most_frequent_terms(spark):
+    import random
+
+    from linkwright.operators.candidates import most_frequent
+
+    rng = random.Random(5)
+    rows = [(g, f"t{i:02d}", rng.randrange(1, 5)) for g in "ab" for i in range(40)]
+    frame = spark.createDataFrame(rows, "g string, term string, total long")
+    for most in (1, 7, 25, 40, 90):
+        expected = {(g, t) for g in "ab" for _, t in sorted((-n, t) for h, t, n in rows if h == g)[:most]}
+        assert {(r["g"], r["term"]) for r in most_frequent(frame, ["g"], most).collect()} == expected
+
+
+def test_block_against_brute_force():
+    import numpy as np
+
+    from linkwright.operators.candidates import Block
+
+    rng = np.random.default_rng(2)
+    terms = [np.unique(rng.zipf(1.3, 12) % 300) for _ in range(400)]
+    weights = [(w := rng.random(len(t))) / np.linalg.norm(w) for t in terms]
+    dense_ = np.zeros((400, 300))
+    for i, (t, w) in enumerate(zip(terms, weights)):
+        dense_[i, t] = w
+    block = Block(np.arange(400), terms, weights)
+    for q in range(60):
+        known = np.append(terms[q], 999)
+        for least, k in ((0.01, 5), (0.3, 5), (0.6, 400), (0.99, 3)):
+            scores = np.round(dense_ @ dense_[q], 6)
+            order = np.lexsort((np.arange(400), -scores))
+            expected = [(int(i), scores[i]) for i in order if scores[i] >= least][:k]
+            places, got = block.best(known, np.append(weights[q], 0.5), k, least, 6)
+            assert list(zip(places.tolist(), got)) == expected

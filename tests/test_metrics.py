@@ -79,7 +79,7 @@ def test_file_report(spark):
 
     assert report("source1_entity_id\tmatched_entity_ids", "S1-1\t", "") == []
     assert "empty" in report("")[0] and "comma" in report("a,b")[0] and "header" in report("a\tb")[0]
-    assert report("Source1_entity_id\tmatched_entity_ids ", "S1-1") == ["1 rows without a tab"]
+    assert report("Source1_entity_id\tmatched_entity_ids ", "S1-1") == ["1 rows without a tab", "without a tab: S1-1"]
 
 
 def test_samples_and_splits(spark):

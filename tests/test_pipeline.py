@@ -46,11 +46,37 @@ def test_run_all(spark, tmp_path):
     lists = [line.split("\t") for line in (out / "matching_results.tsv").read_text().splitlines()]
     assert lists[0] == TRUTH_COLUMNS and len(lists) == 17 and sum(bool(r[1]) for r in lists[1:]) >= 1
     assert len((out / "candidate_pairs.tsv").read_text().splitlines()) == 17
+    run = Run(spark, str(tmp_path / "data"), str(out), config)
+    assert run.validate(ids=True) == {}
+    extra = (out / "matching_results.tsv").read_text().splitlines()
+    (out / "matching_results.tsv").write_text("\n".join([extra[0], extra[1].split("\t")[0] + "\tS2-99999", *extra[2:]]) + "\n")
+    (out / ".matching_results.tsv.crc").unlink(missing_ok=True)
+    assert set(run.validate(ids=True)) == {"unknown_id", "warning"}
+    (out / "candidate_pairs.tsv").unlink()
+    assert run.validate() == {"file": [f"{out}/candidate_pairs.tsv is missing"]}
     recall = json.loads((out / "candidates/train/manifest.json").read_text())["recall"]
     assert recall["pair_recall"] >= 0.95
     assert json.loads((out / "run_metadata.json").read_text())["config_hash"] == configuration.config_hash(config)
 
 
+def test_best_round():
+    assert M.best_round([3.0, 2.0, 1.0, 1.5, 1.4], 2) == (3, True)
+    assert M.best_round([3.0, 2.0, 1.0, 1.5], 2) == (3, False)
+    assert M.best_round([1.0, 1.0, 1.0], 5) == (1, False)
+
+
+def test_early_stopping_keeps_the_first_rounds(spark):
+    rng = random.Random(1)
+    rows = [tuple(float(rng.random()) for _ in M.FEATURES) for _ in range(300)]
+    frame = spark.createDataFrame([(*r, int(rng.random() < 0.5 + 0.4 * (r[0] > 0.5))) for r in rows], ", ".join(f"{f} double" for f in M.FEATURES) + ", label int")
+    train, checks = frame.limit(200), frame.limit(100)
+    stopped = M.fit(train, checks, M.BASE | {"maxDepth": 3}, 64, 1, patience=2)
+    trees = stopped.stages[-1]
+    assert 1 <= trees.getNumTrees <= 64
+    whole = M.fit(train, checks, M.BASE | {"maxDepth": 3}, trees.getNumTrees, 1)
+    assert [t.toDebugString.split("\n", 1)[1] for t in trees.trees] == [t.toDebugString.split("\n", 1)[1] for t in whole.stages[-1].trees]
+
+
 def test_draws():
     assert M.draws(3, 1)[0] == M.BASE and M.draws(3, 1) == M.draws(3, 1) and len(M.draws(100, 1)) == 65
 

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from linkwright.plans import config as configuration
-from linkwright.plans.runtime import Budget, deadline
+from linkwright.plans.runtime import Deadlines, deadline
 from linkwright.sources import tables as S
 
 
@@ -87,11 +87,51 @@ def test_safe_child(tmp_path):
             S.safe_child(bad, str(tmp_path))
 
 
-def test_json(tmp_path):
-    S.write_json({"b": 1, "a": "é"}, str(tmp_path / "x/y.json"))
+def test_reset_stays_inside(spark, tmp_path):
+    write(tmp_path / "run/stage/x", "1")
+    S.reset(spark, f"{tmp_path}/run/stage", f"{tmp_path}/run")
+    assert not (tmp_path / "run/stage").exists() and (tmp_path / "run").exists()
+    with pytest.raises(ValueError):
+        S.reset(spark, f"{tmp_path}/run", f"{tmp_path}/run")
+    with pytest.raises(ValueError):
+        S.safe_child("s3a://other/run/x", "s3a://bucket/run")
+    assert S.safe_child("s3a://bucket/run/x", "s3a://bucket/run") == "s3a://bucket/run/x"
+
+
+def test_json(spark, tmp_path):
+    for place in (str(tmp_path / "x/y.json"), f"file://{tmp_path}/z.json"):
+        S.write_json({"b": 2, "a": ""}, place, spark)
+        S.write_json({"b": 1, "a": "é"}, place, spark)
+        assert S.read_json(spark, place) == {"a": "é", "b": 1}
     assert json.loads((tmp_path / "x/y.json").read_text()) == {"a": "é", "b": 1}
 
 
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    path = write(tmp_path / "a.tsv", HEADER, 'S1-1\t"a\nb"\tx\tIndia')
+    assert [tuple(r) for r in S.read_tsv(spark, path, multi_line=True).collect()] == [("S1-1", "a\nb", "x", "India")]
+    assert S.tsv_to_csv(spark, path, str(tmp_path / "csv"), S.SOURCE_COLUMNS, multi_line=True) == 1
+
+
+def test_missing_partition_is_empty(spark, tmp_path):
+    empty = S.read_partition(spark, str(tmp_path / "none"))
+    assert empty.isEmpty() and empty.columns[:4] == S.SOURCE_COLUMNS and S.read_partition(spark, str(tmp_path / "none"), "india").isEmpty()
+
+
+def test_clean_export(spark, tmp_path):
+    frame = spark.createDataFrame([("S1-1", "Ａ  B", "x\ty", "India")], "entity_id string, business_name string, business_address string, country string")
+    S.export_clean(frame, str(tmp_path / "clean"))
+    columns = [*S.SOURCE_COLUMNS, *(f"{c}_clean" for c in S.SOURCE_COLUMNS[1:])]
+    assert [tuple(r) for r in S.read_tsv(spark, str(tmp_path / "clean"), columns).collect()] == [("S1-1", "Ａ  B", "x\ty", "India", "a b", "x y", "india")]
+
+
+def test_long_list_is_ordered(spark, tmp_path):
+    path = f"file://{tmp_path}/many.tsv"
+    rows = spark.range(5000).selectExpr("concat('S1-', lpad(id * 7919 % 5000, 6, '0')) AS source1_entity_id", "'' AS matched_entity_ids").repartition(7)
+    S.write_list(rows, path)
+    lines = (tmp_path / "many.tsv").read_text().splitlines()
+    assert len(lines) == 5001 and lines[1:] == sorted(lines[1:]) and not (tmp_path / "many.tsv.parts").exists()
+
+
 @pytest.mark.parametrize(
     "section, key, value",
     [
@@ -117,16 +157,21 @@ def test_configuration(tmp_path):
     assert configuration.config_hash(one) == configuration.config_hash(one | {"_path": "x"})
 
 
-def test_budget():
+def test_deadlines(spark):
     now = [0.0]
-    budget = Budget(10, 2, clock=lambda: now[0])
-    now[0] = 300
-    budget.require("a", 5)
-    with pytest.raises(TimeoutError):
-        budget.require("b", 4, optional=True)
+    times = Deadlines(10, 2, now=lambda: now[0])
+    assert times.seconds_left() == 480 and times.forecast("a", 100) == 0
+    with times.stage(spark, "a", 10):
+        now[0] += 100
+    assert times.forecast("a", 30) == 300
+    with pytest.raises(TimeoutError, match="a would take 400 s"):
+        with times.stage(spark, "a", 40):
+            raise AssertionError("must not begin")
+    with times.stage(spark, "a", 40, to_end=True):
+        now[0] += 390
     with pytest.raises(TimeoutError):
-        budget.require("c", 6)
-    assert budget.deadline() == 180
+        with times.stage(spark, "b", 1):
+            raise AssertionError("must not begin")
 
 
 def test_deadline_cancels(spark):
