@@ -51,6 +51,15 @@ def cut(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def hold(frame: DataFrame) -> DataFrame:
+    """A checkpoint in the shared folder: its lineage is cut and its partitioning kept, so that joins on it do not
+    shuffle it again."""
+    folder, context = shared_folder(frame.sparkSession), frame.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return frame.checkpoint(eager=True)
+
+
 def forget() -> None:
     """Delete all tables written by :func:`cut`; frames that read them can no longer be used."""
     while _WRITTEN:
