@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkwright.session import cut
+from linkwright.session import cut, hold
 
 BLANKS = r"^[\s\p{Z}]+|[\s\p{Z}]+$"
 
@@ -56,7 +56,7 @@ def _spread(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the symmetric edge table ``(u, v)``; the component is its smallest node."""
     levels = []
-    current = cut(edges.repartition("u"))
+    current = hold(edges.repartition("u"))
     while not current.isEmpty():
         labels = _spread(current)
         levels.append(labels)

@@ -5,8 +5,9 @@ other is split. The cost of a container is estimated as linear in its tokens plu
 within a document); pieces go in descending order to the container of lowest cost that still has room, and a new one
 is opened where none has.
 
-Containers are filled in groups of about ``group_tokens`` tokens, chosen by a hash of the piece, so each task holds a
-bounded group whatever the skew of sizes or sources; a group leaves at most about one container part empty.
+Containers are filled in groups of about ``group_tokens`` tokens, or ``PER_GROUP`` containers where these hold more,
+chosen by a hash of the piece, so each task holds a bounded group whatever the skew of sizes or sources; a group leaves
+at most about one container part empty.
 
 Defined results: null and empty texts have no tokens and take no place; repeated documents are packed each; a document
 that appears twice under one id is packed twice; capacities that are null or below one raise ``ValueError``.
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,8 @@ VOCABULARY = "byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Cost per token, and per squared token of a piece.
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
-GROUP_TOKENS = 8_000_000
+#: Tokens of a group of pieces, and containers that it fills at least.
+GROUP_TOKENS, PER_GROUP = 8_000_000, 200
 MOST_CAPACITIES = 100
 
 
@@ -42,11 +45,16 @@ def encoder(path: str, pattern: str = PATTERN):
 
 
 def token_counts(documents: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """``(<key>, tokens)`` of every document; 0 for null and empty texts."""
+    """``(<key>, tokens)`` of every document; 0 for null and empty texts.
+
+    The vocabulary lies where the driver runs, and is sent to every executor.
+    """
     vocabulary = path or f"{TOKENIZERS}/{VOCABULARY}"
+    documents.sparkSession.sparkContext.addFile(vocabulary)
+    name = os.path.basename(vocabulary)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary).encode_ordinary
+        encode = encoder(SparkFiles.get(name)).encode_ordinary
         for batch in batches:
             yield pd.DataFrame({key: batch[key], "tokens": [len(encode(t)) if t else 0 for t in batch["text"]]})
 
@@ -85,13 +93,13 @@ def pack(counts: DataFrame, capacities: dict[int, int], key: str = "doc_id", gro
     pieces = pieces.withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("all") / F.col("capacity")).cast("int") - 1)))
     first = F.col("piece") * F.col("capacity")
     pieces = pieces.select("limit_id", "capacity", key, "piece", first.alias("first_token"), F.least("capacity", F.col("all") - first).alias("tokens"))
-    groups = max(1, -(-total // group_tokens))
-    pieces = pieces.withColumn("pack_group", F.pmod(F.xxhash64(key, "piece"), F.lit(groups)))
+    groups = F.greatest(F.lit(1), F.ceil(F.lit(total) / F.greatest(F.lit(group_tokens), PER_GROUP * F.col("capacity")))).cast("long")
+    pieces = pieces.withColumn("groups", groups).withColumn("pack_group", F.pmod(F.xxhash64(key, "piece"), F.col("groups")))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["tokens", key, "piece"], ascending=[False, True, True], kind="stable")
         held = fill(frame["tokens"].to_numpy(), int(frame["capacity"].iloc[0]))
-        return frame.assign(container=held * groups + frame["pack_group"].iloc[0])[["limit_id", key, "piece", "first_token", "tokens", "container"]]
+        return frame.assign(container=held * frame["groups"].iloc[0] + frame["pack_group"].iloc[0])[["limit_id", key, "piece", "first_token", "tokens", "container"]]
 
     schema = f"limit_id long, {key} {kind}, piece int, first_token long, tokens long, container long"
     return pieces.groupBy("limit_id", "pack_group").applyInPandas(run, schema)
