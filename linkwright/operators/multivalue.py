@@ -169,11 +169,11 @@ def _segment_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 _RUNS = r"([\p{L}\p{N}]+)"
 
 
-def _anchors(text: Column) -> Column:
-    """What a text may be looked up by: each two neighbouring runs of letters and digits, and each single run."""
+def _anchors(text: Column, singles: bool) -> Column:
+    """What a text may be looked up by: each two neighbouring runs of letters and digits, and ``singles`` each single run."""
     runs = F.regexp_extract_all(text, F.lit(_RUNS), 1)
     pairs = F.zip_with(F.slice(runs, 1, F.greatest(F.size(runs) - 1, F.lit(0))), F.slice(runs, 2, F.greatest(F.size(runs) - 1, F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.array_distinct(F.concat(pairs, runs))
+    return F.array_distinct(F.concat(pairs, runs) if singles else F.when(F.size(runs) > 1, pairs).otherwise(runs))
 
 
 def known_values(texts: DataFrame, dictionary: DataFrame, value: str) -> DataFrame:
@@ -183,11 +183,13 @@ def known_values(texts: DataFrame, dictionary: DataFrame, value: str) -> DataFra
     one), so a common first word gathers nothing; what meets is compared whole before it is kept.
     """
     values = dictionary.select(F.col(value).alias("value")).where(F.col("value").rlike(_RUNS)).distinct()
-    several = F.size(F.regexp_extract_all("value", F.lit(_RUNS), 1)) > 1
-    keyed = values.select("value", F.explode(F.filter(_anchors(F.col("value")), lambda x: ~several | x.contains(" "))).alias("anchor"))
-    counts = keyed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    rarest = keyed.join(counts, "anchor").groupBy("value").agg(F.min(F.struct("n", "anchor"))["anchor"].alias("anchor"))
-    places = texts.select("text", F.explode(_anchors(F.col("text"))).alias("anchor"))
+    keyed = values.select("value", _anchors(F.col("value"), False).alias("anchors"))
+    # only values of more than two runs have a choice, so only their anchors are counted
+    chosen = keyed.where(F.size("anchors") > 1).select("value", F.explode("anchors").alias("anchor"))
+    counts = chosen.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    rarest = chosen.join(counts, "anchor").groupBy("value").agg(F.min(F.struct("n", "anchor"))["anchor"].alias("anchor"))
+    rarest = rarest.unionByName(keyed.where(F.size("anchors") == 1).select("value", F.col("anchors")[0].alias("anchor")))
+    places = texts.select("text", F.explode(_anchors(F.col("text"), True)).alias("anchor"))
     met = places.join(rarest, "anchor").where(F.col("text").contains(F.col("value")))
     return met.groupBy("text").agg(F.collect_set("value").alias("known"))
 
