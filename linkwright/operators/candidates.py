@@ -42,8 +42,11 @@ def document_frequency(terms: DataFrame, partition: list[str]) -> DataFrame:
     return terms.groupBy(*partition, "term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def _postings(frame: DataFrame, document: Column, group: list[str]) -> DataFrame:
+def _postings(frame: DataFrame, document: Column, group: list[str], repeats: bool) -> DataFrame:
+    """One row per record and term with the times it occurs; documents whose terms never repeat need no shuffle for it."""
     exploded = frame.select("entity_id", *group, F.explode(document).alias("term"))
+    if not repeats:
+        return exploded.withColumn("tf", F.lit(1))
     return exploded.groupBy("entity_id", *group, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -74,18 +77,20 @@ def tfidf_lane(
     count_empty: bool = True,
     digits: int = 6,
     capped_only_above: bool = False,
+    repeats: bool = True,
 ) -> DataFrame:
     """The ``top_k`` most similar targets of each query by cosine of TF-IDF vectors.
 
     Vectors are fitted on the targets of each country and source: sublinear term frequency, ``ln((1+n)/(1+df)) + 1``,
     unit length after pruning. Terms in more than ``most_df`` targets are dropped on both sides, which bounds the
     targets any query term meets; ``capped_only_above`` drops them only in a corpus larger than the cap.
-    ``max_features`` keeps the terms most frequent by total count. Ties at the last place go to the smaller id.
+    ``max_features`` keeps the terms most frequent by total count; ``repeats`` says whether a document may hold a term twice. Ties at the last place go to the smaller id.
     """
     group = ["country", "target_source"]
-    q_tf = _postings(queries, document, ["country"])
-    # what is used more than once is written once
-    t_tf = cut(_postings(targets, document, group))
+    q_tf, t_tf = _postings(queries, document, ["country"], repeats), _postings(targets, document, group, repeats)
+    if repeats:
+        # what is used more than once is written once
+        t_tf = cut(t_tf)
     documents = targets if count_empty else targets.where(F.size(document) > 0)
     corpus = documents.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
     vocabulary = t_tf.groupBy(*group, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
@@ -95,10 +100,13 @@ def tfidf_lane(
         vocabulary = vocabulary.where(above | (F.col("df") <= most_df))
     if max_features is not None:
         vocabulary = most_frequent(cut(vocabulary), group, max_features)
-    vocabulary = cut(vocabulary.select(*group, "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")))
+    # a target's length needs all its terms, but only those that a query holds are ever looked up
+    asked = q_tf.select("country", "term").distinct().withColumn("asked", F.lit(True))
+    vocabulary = vocabulary.join(asked, ["country", "term"], "left")
+    vocabulary = cut(vocabulary.select(*group, "term", "asked", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf")))
     weight = (1 + F.log("tf")) * F.col("idf")
-    q_raw = q_tf.join(vocabulary, ["country", "term"]).select("entity_id", *group, "term", weight.alias("w"))
-    t_raw = t_tf.join(vocabulary, [*group, "term"]).select("entity_id", *group, "term", weight.alias("w"))
+    q_raw = q_tf.join(vocabulary, ["country", "term"]).select("entity_id", *group, "term", "asked", weight.alias("w"))
+    t_raw = t_tf.join(vocabulary, [*group, "term"]).select("entity_id", *group, "term", "asked", weight.alias("w"))
     left = cut(_vectors(q_raw, ["entity_id", *group]).withColumnRenamed("entity_id", KEYS[0]))
     right = cut(_vectors(t_raw, ["entity_id", *group]).withColumnRenamed("entity_id", KEYS[1]))
     best = _block_product(left, right, group, top_k, least, digits)
@@ -107,8 +115,10 @@ def tfidf_lane(
 
 
 def _vectors(weights: DataFrame, document: list[str]) -> DataFrame:
-    """One row per document: its terms (64-bit hashes) and their weights at unit length."""
-    gathered = weights.groupBy(*document).agg(F.collect_list(F.struct(F.xxhash64("term").alias("term"), "w")).alias("items"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    """One row per document: its asked terms (64-bit hashes) with their weights, at unit length over all its terms."""
+    item = F.when(F.col("asked"), F.struct(F.xxhash64("term").alias("term"), "w"))
+    gathered = weights.groupBy(*document).agg(F.collect_list(item).alias("items"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    gathered = gathered.where(F.size("items") > 0)
     return gathered.select(*document, F.col("items.term").alias("terms"), F.transform("items", lambda x: x["w"] / F.col("norm")).alias("weights"))
 
 
@@ -223,11 +233,11 @@ def token_lane(queries: DataFrame, targets: DataFrame, top_k: int = 12, least: f
     if buckets:
         # a hash that any engine can compute
         document = F.transform(document, lambda t: (F.conv(F.substring(F.md5(t), 1, 12), 16, 10).cast("long") % buckets).cast("string"))
-    return tfidf_lane(queries, targets, document, "token_tfidf", top_k, least, most_df)
+    return tfidf_lane(queries, targets, document, "token_tfidf", top_k, least, most_df, repeats=buckets is not None)
 
 
 def address_token_lane(queries: DataFrame, targets: DataFrame, top_k: int = 20, least: float = 0.01, most_df: int = 20000) -> DataFrame:
-    return tfidf_lane(queries, targets, T.token_document(F.lit(""), "address_punct"), "address_tfidf", top_k, least, most_df)
+    return tfidf_lane(queries, targets, T.token_document(F.lit(""), "address_punct"), "address_tfidf", top_k, least, most_df, repeats=False)
 
 
 def char_lane(
