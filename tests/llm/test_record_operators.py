@@ -5,6 +5,7 @@ import pytest
 from linkwright.llm import addresses, groups, linkage, names, records
 from linkwright.llm.leakage import edits
 from linkwright.llm.queries import LEXICON
+from linkwright.session import cut
 
 
 def pairs(frame):
@@ -222,6 +223,22 @@ def test_linkage(spark):
 SIX = "entity_id string, business_name string, business_address string"
 
 
+def test_no_growing_side_is_broadcast(spark, monkeypatch):
+    plans = []
+
+    def plan(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return cut(frame)
+
+    monkeypatch.setattr(linkage, "cut", plan)
+    left = [("S1-1", "Relesnen and Kehilos Ltd", "12 Dorapa Road, Kiriyeville, TS 30101")]
+    right = [("S2-1", "Relesnen & Kehilos", "12 Dorapa Rd, Kiriyeville, TS 30101"), ("S2-2", "Gasobir Bumosur", "")]
+    found = linkage.linked(spark.createDataFrame(left, SIX), spark.createDataFrame(right, SIX), "entity_id", "business_name", "business_address", LEXICON)
+    assert pairs(found.select("left_id", "right_id")) == {("S1-1", "S2-1")}
+    # the fit of a file says nothing of the rows exploded out of it
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 6 and not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_accepted_streets_always_meet(spark):
     """Candidates against all pairs: without a telling name, every two full addresses that are accepted meet."""
     from pyspark.sql import functions as F
