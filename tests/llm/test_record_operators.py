@@ -182,6 +182,44 @@ def test_two_edits_anywhere_are_always_found(spark):
         assert (min(a, b), max(a, b)) in got, (a, b)
 
 
+def test_joined_shards_find_what_tries_find(spark):
+    """Small shards meet in a join and large ones in tries, with the same pairs and distances."""
+    rng = random.Random(3)
+
+    def hurt(text):
+        for _ in range(rng.choice([1, 2])):
+            i = rng.randrange(len(text) - 1)
+            text = rng.choice([text[:i] + text[i + 1 :], text[:i] + text[i + 1] + text[i] + text[i + 2 :], text[:i] + "z" + text[i + 1 :], text[:i] + "z" + text[i:]])
+        return text
+
+    def word():
+        return "".join(rng.choice("bcdfghklmnprst") + rng.choice("aeiou") for _ in range(rng.choice([2, 3, 4])))
+
+    made = ["".join((word(), " ", word())) for _ in range(40)]
+    texts = made + [hurt(t) for t in made for _ in range(3)] + [hurt(t.replace(" ", "")) for t in made] + [f"kehilos {word()}" for _ in range(30)]
+    frame = spark.createDataFrame([(" ".join(sorted(set(t.split()))),) for t in texts], "core string")
+    joined = pairs(names.near_cores(frame))
+    assert len(joined) > 200 and joined == pairs(names.near_cores(frame, paired=1))
+    # a name meets by each word whole, so it needs no keys of the ends of both
+    assert not any("&" in shard for shard, _ in names.shards("kehilos relesnen", ends=False))
+
+
+def test_single_keys(spark):
+    """Every single word shares a key with glued ones and single ones up to two edits apart; Spark makes the same keys."""
+    rng = random.Random(4)
+    for size in range(5, 22):
+        for _ in range(60):
+            text = other = "".join(rng.choice("abcdefgh") for _ in range(size))
+            for _ in range(2):
+                i = rng.randrange(len(other) - 1)
+                other = rng.choice([other[:i] + other[i + 1 :], other[:i] + other[i + 1] + other[i] + other[i + 2 :], other[:i] + "z" + other[i + 1 :], other[:i] + "z" + other[i:]])
+            for glued in (False, True):
+                assert names.single_keys(text, False) & names.single_keys(other, glued), (text, other, glued)
+    cores = [f"{'abcdefghijk'[:i]} {'mnopqrstuvwx'[:j]}" for i in range(3, 12) for j in range(3, 13) if i + j > 11]
+    keys = names._long_glued(spark.createDataFrame([(c,) for c in cores], "core string"))
+    assert pairs(keys.select("text", "shard")) == {(t, k) for c in cores for t in ("".join(c.split()), "".join(c.split()[::-1])) for k in names.single_keys(t, True)}
+
+
 def test_hot_names_meet_by_spelling(spark):
     rows = [(f"S2-{i:03d}", "Puyeman Luulekan Bakery") for i in range(60)] + [("S3-001", "PUYEMAN LUULEKAN BKRY"), ("S3-002", "PUYEMAN LUULEKAN BKRY"), ("S3-003", None)]
     got = pairs(names.variant_pairs(spark.createDataFrame(rows, "k string, n string"), "k", "n"))
