@@ -19,6 +19,7 @@ with several reviews count as flagged when more reviews say so than not.
 
 from __future__ import annotations
 
+import codecs
 import math
 import re
 from collections import Counter
@@ -48,11 +49,16 @@ THRESHOLD = 0.5
 
 # Format codes of subtitle files; other text in braces or brackets is read like any other.
 _TAGS = re.compile(r"<[^>\n]*>|\{(?:\\[^}\n]*|[A-Za-z]:[^}\n]*|\d*)\}")
-_SPLIT = re.compile(r"[!?।॥:;¡¿♪♫]+(?!\w)|(?<!\.)\.(?=[\s\"”»]|$)|[\[\]{}]|^[ \t]*[-–—](?=[ \t])", re.M)
+# each pattern begins with a set of characters, so that the scan stops at these alone; a dash counts after a line break
+_SPLIT = re.compile(
+    r"[!?।॥:;¡¿♪♫.\[\]{}\n](?:(?<=[!?।॥:;¡¿♪♫])[!?।॥:;¡¿♪♫]*(?!\w)|(?<=\.)(?<!\.\.)(?=[\s\"”»]|$)|(?<=[\[\]{}])|(?<=\n)[ \t]*[-–—](?=[ \t]))", re.M
+)
+# what any text with letters set apart holds
+_ALONE = re.compile(r"[ .*_\-·]\w[ .*_\-·]")
 _APART = re.compile(r"(?<!\w)(?:\w[ .*_\-·]{1,2}){2,}\w(?!\w)")
 _DOTS = re.compile(r"\.{2,}|…")
 _STRETCH = re.compile(r"([^\W\d_])\1{2,}")
-_LEET = re.compile(r"(?<=[^\W\d_])[0134578@$!](?=[^\W\d_])|(?<=[^\W\d_])[0134578@$](?=\b)")
+_LEET = re.compile(r"[0134578@$!](?<=[^\W\d_].)(?:(?=[^\W\d_])|(?<!!)\b)")
 _SPACES = re.compile(r"[\s|*_\-,.!?¡¿\"“”«»()]+")
 _MOJIBAKE = re.compile(r"[ÂÃâàå][\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ¡-¿]")
 _DIGIT_LETTERS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
@@ -68,18 +74,21 @@ def _table() -> dict[int, str]:
     return _TABLE
 
 
+def _outside(error: UnicodeError) -> tuple[bytes, int]:
+    """Bytes of characters that cp1252 lacks."""
+    chars = error.object[error.start : error.end]
+    return b"".join(c.encode("latin-1" if ord(c) < 256 else "utf-8") for c in chars), error.end
+
+
+codecs.register_error("linkwright.outside", _outside)
+
+
 def repaired(text: str) -> str:
     """UTF-8 that was read as a one-byte encoding, once or twice, read again."""
     for _ in range(2):
         if not _MOJIBAKE.search(text):
             break
-        out = bytearray()
-        for char in text:
-            try:
-                out += char.encode("cp1252")
-            except UnicodeEncodeError:
-                out += char.encode("latin-1") if ord(char) < 256 else char.encode("utf-8")
-        text = out.decode("utf-8", "replace")
+        text = text.encode("cp1252", "linkwright.outside").decode("utf-8", "replace")
     return text
 
 
@@ -89,7 +98,7 @@ def raw_sentences(text: str | None) -> list[str]:
         return []
     if not text.isascii():
         text = repaired(text)
-    text = "\n".join([line for line in text.splitlines() if "->" not in line and not line.isdigit()])
+    text = "\n" + "\n".join([line for line in text.splitlines() if "->" not in line and not line.isdigit()])
     if "<" in text or "{" in text:
         text = _TAGS.sub(" ", text)
     return _SPLIT.split(text)
@@ -101,8 +110,10 @@ def normal(sentence: str) -> str:
     s = sentence.lower()
     if not s.isascii():
         s = s.translate(_table()).lower()
-    s = _DOTS.sub(" ", s)
-    s = _APART.sub(lambda m: "".join(c for c in m.group() if c.isalnum()), s)
+    if ".." in s or "…" in s:
+        s = _DOTS.sub(" ", s)
+    if _ALONE.search(s):
+        s = _APART.sub(lambda m: "".join(c for c in m.group() if c.isalnum()), s)
     s = _STRETCH.sub(r"\1", s)
     s = _LEET.sub(lambda m: _DIGIT_LETTERS.get(m.group(), m.group()), s)
     s = _SPACES.sub(" ", s).strip()
@@ -175,7 +186,7 @@ class Model:
         sizes = np.diff(grams.starts)
         # every sentence has an n-gram, as it is padded and longer than one letter
         sums = np.concatenate([
-            np.add.reduceat(self.table[grams.buckets[grams.starts[at] : grams.starts[to]]], grams.starts[at:to] - grams.starts[at])
+            np.add.reduceat(self.table.take(grams.buckets[grams.starts[at] : grams.starts[to]], 0), grams.starts[at:to] - grams.starts[at])
             for at, to in zip(range(0, count, CHUNK), [*range(CHUNK, count, CHUNK), count])
         ])
         logits = sums / np.maximum(sizes, 1)[:, None] + self.bias
@@ -183,6 +194,18 @@ class Model:
         out = np.exp(logits)
         return out / out.sum(1, keepdims=True)
 
+    def harm(self, bags: list[list[str]]) -> Iterator[np.ndarray]:
+        """What speaks for harm in every sentence of every bag; bags are judged together, about ``CHUNK`` sentences at once."""
+        at = 0
+        while at < len(bags):
+            to, held = at, 0
+            while to < len(bags) and held < CHUNK:
+                held += len(bags[to])
+                to += 1
+            own = 1 - self.probabilities([s for bag in bags[at:to] for s in bag])[:, 0]
+            yield from np.split(own, np.cumsum([len(bag) for bag in bags[at:to]])[:-1])
+            at = to
+
 
 def fit(grams: Grams, labels: np.ndarray, weights: np.ndarray, epochs: int = 6, batch: int = 256, rate: float = 0.25, seed: int = 0, state: tuple | None = None) -> tuple[Model, tuple]:
     """Embeddings and softmax trained jointly by Adagrad on weighted sentences; ``state`` goes on from an earlier fit."""
@@ -196,6 +219,7 @@ def fit(grams: Grams, labels: np.ndarray, weights: np.ndarray, epochs: int = 6,
     else:
         vectors, out, bias, g_vectors, g_out, g_bias = state
     members = np.flatnonzero((weights > 0) & (np.diff(starts) > 0))
+    place = np.zeros(BUCKETS, np.intp)
     for _ in range(epochs):
         shuffled = rng.permutation(members)
         for at in range(0, len(shuffled), batch):
@@ -204,17 +228,24 @@ def fit(grams: Grams, labels: np.ndarray, weights: np.ndarray, epochs: int = 6,
             offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             index = np.repeat(starts[chosen] - offsets, sizes) + np.arange(sizes.sum())
             own = dense[index]
-            hidden = np.add.reduceat(vectors[own], offsets) / sizes[:, None]
-            logits = hidden @ out + bias
+            hidden = np.add.reduceat(vectors.take(own, 0), offsets) / sizes[:, None]
+            # einsum keeps to one thread; for matrices this small a BLAS library wakes threads that only wait
+            logits = np.einsum("sw,wc->sc", hidden, out) + bias
             logits -= logits.max(1, keepdims=True)
             p = np.exp(logits)
             p /= p.sum(1, keepdims=True)
             p[np.arange(len(chosen)), labels[chosen]] -= 1
             p *= (weights[chosen] / max(weights[chosen].sum(), 1e-9))[:, None]
-            d_out, d_bias, d_hidden = hidden.T @ p, p.sum(0), (p @ out.T) / sizes[:, None]
-            places, inverse = np.unique(own, return_inverse=True)
-            rows = np.repeat(np.arange(len(chosen)), sizes)
-            d_vectors = np.stack([np.bincount(inverse, d_hidden[rows, k], len(places)) for k in range(WIDTH)], 1).astype(np.float32)
+            d_out, d_bias, d_hidden = np.einsum("sw,sc->wc", hidden, p), p.sum(0), np.einsum("sc,wc->sw", p, out) / sizes[:, None]
+            # the distinct buckets in order, found by marking instead of sorting
+            marks = np.zeros(BUCKETS, bool)
+            marks[own] = True
+            places = np.flatnonzero(marks)
+            place[places] = np.arange(len(places))
+            inverse = place.take(own)
+            d_vectors = np.empty((len(places), WIDTH), np.float32)
+            for k in range(WIDTH):
+                d_vectors[:, k] = np.bincount(inverse, np.repeat(d_hidden[:, k], sizes), len(places))
             g_vectors[places] += (d_vectors**2).mean(1)
             vectors[places] -= rate * d_vectors / np.sqrt(g_vectors[places])[:, None]
             g_out += d_out**2
@@ -222,7 +253,7 @@ def fit(grams: Grams, labels: np.ndarray, weights: np.ndarray, epochs: int = 6,
             g_bias += d_bias**2
             bias -= rate * d_bias / np.sqrt(g_bias)
     # an n-gram that was never seen says nothing
-    table = np.where((g_vectors > 1e-6)[:, None], vectors @ out, 0).astype(np.float32)
+    table = np.where((g_vectors > 1e-6)[:, None], np.einsum("bw,wc->bc", vectors, out), 0).astype(np.float32)
     return Model(table, bias.copy()), (vectors, out, bias, g_vectors, g_out, g_bias)
 
 
@@ -278,26 +309,29 @@ def train(documents: list[tuple[str, int]], seed: int = 0, weight_of_clean: floa
         return model
 
     members: list[Model | None] = []
+
+    def judged(some: list[list[str]]) -> Iterator[tuple[int, np.ndarray]]:
+        """Documents by number, and how harmful the member that has not seen them finds each sentence."""
+        for k, judge in enumerate(members):
+            if judge is not None:
+                own = [i for i in np.flatnonzero(fold == k) if some[i]]
+                yield from zip(own, judge.harm([some[i] for i in own]))
+
     for turn in range(TURNS + 1):
         members = [member(k, turn, 5 if turn == TURNS else 2 + turn) for k in range(FOLDS)]
         if turn == TURNS:
             break
-        for i, bag in enumerate(bags):
-            judge = members[fold[i]]
-            if bag and judge is not None:
-                own = 1 - judge.probabilities(bag)[:, 0]
-                bar = max(0.5 if turn else 0.3, 0.7 * own.max())
-                chosen[i] = [(s, 1.0) for s, x in zip(bag, own) if x >= bar]
-                rest[i] = [s for s, x in zip(bag, own) if x < min(bar, 0.3)]
+        for i, own in judged(bags):
+            bar = max(0.5 if turn else 0.3, 0.7 * own.max())
+            chosen[i] = [(s, 1.0) for s, x in zip(bags[i], own) if x >= bar]
+            rest[i] = [s for s, x in zip(bags[i], own) if x < min(bar, 0.3)]
     known = [m for m in members if m is not None]
     if not known:
         return None
     model = Model(np.mean([m.table for m in known], 0, dtype=np.float32), np.mean([m.bias for m in known], 0, dtype=np.float32))
     unseen = np.zeros(len(documents))
-    for i, part in enumerate(parts):
-        judge = members[fold[i]]
-        if part and judge is not None:
-            unseen[i] = (1 - judge.probabilities(part)[:, 0]).max()
+    for i, own in judged(parts):
+        unseen[i] = own.max()
     return model.calibrated(best_threshold(unseen, classes > 0, weight_of_clean))
 
 
@@ -344,7 +378,10 @@ def labelled(
 
 
 def _score(model: Model | None, key: str):
+    table = _table()  # built once on the driver, as each worker would take a second for it
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _TABLE.update(table)
         for batch in batches:
             best = np.zeros((len(batch), len(CLASSES)))
             best[:, 0] = 1.0

@@ -2,6 +2,7 @@ import random
 import unicodedata
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from linkwright.llm import abuse, confusables, leakage, lookalikes, packing
@@ -166,6 +167,30 @@ def test_more_labels_never_cost_precision():
         assert many[0] >= max(0.95, few[0] - 0.02) and many[1] >= 0.95, (seed, few, many)
 
 
+def test_training_judges_documents_together(monkeypatch):
+    # a call per document cost more than what it did; and a document's sentences are judged as they were alone
+    rng, calls, hashed = random.Random(3), [], abuse.hashed
+    documents = [(corpus(rng, i % 4 == 0), int(i % 4 == 0)) for i in range(240)]
+    monkeypatch.setattr(abuse, "hashed", lambda items: calls.append(len(items)) or hashed(items))
+    model = abuse.train(documents)
+    assert len(calls) < 60
+    monkeypatch.setattr(abuse, "CHUNK", 40)
+    bags = [abuse.sentences(t) for t, _ in documents[:50]] + [[], ["ab"]]
+    together = list(model.harm(bags))
+    assert [len(x) for x in together] == [len(bag) for bag in bags] and not list(model.harm([]))
+    assert all((x == 1 - model.probabilities(bag)[:, 0]).all() for x, bag in zip(together, bags))
+
+
+def test_tasks_get_the_letter_table(monkeypatch):
+    model = abuse.Model(np.ones((abuse.BUCKETS, 4), np.float32), np.zeros(4, np.float32))
+    run = abuse._score(model, "doc_id")
+    monkeypatch.setattr(abuse, "_TABLE", {})
+    monkeypatch.setattr(abuse, "mapping", lambda: pytest.fail("a task builds the table"))
+    abuse.normal.cache_clear()
+    assert next(run(iter([pd.DataFrame({"doc_id": [1], "text": ["bаstаrd café"]})]))).score[0] == 0.75
+    assert abuse.normal("bаstаrd café") == "bastard cafe"
+
+
 def test_best_threshold():
     scores, flagged = np.array([0.9, 0.8, 0.7, 0.3, 0.2, 0.1]), np.array([True, True, False, False, True, False])
     assert 0.7 < abuse.best_threshold(scores, flagged, 1.0) < 0.8
@@ -189,6 +214,13 @@ def test_sentence_forms():
     assert abuse.sentences(None) == [] == abuse.sentences("")
 
 
+def test_splits_and_characters_outside_the_encoding():
+    assert abuse.sentences("- one\n \t- two\n--three\n– four -five\n-six") == ["one", "two three", "four five six"]
+    assert abuse.sentences("the end.. of it.\"Go\" now... stop!! no!?\n\nyes. e.g this") == ["the end of it", "go now stop", "no", "yes", "e g this"]
+    assert abuse.sentences("x1 y@z 4u s!t wait! ca$ we 're00 1a1b") == ["xi yaz 4u sit wait", "ca$ we 're00 1aib"]
+    assert abuse.repaired("Ã© \x81жЖ中\x9d ÿ") == b"\xc3\xa9 \x81\xd0\xb6\xd0\x96\xe4\xb8\xad\x9d \xff".decode("utf-8", "replace")
+
+
 def test_scores(spark):
     rng = random.Random(4)
     rows = [(i, corpus(rng, i % 3 == 0), "a" if i % 2 else None, 9.0) for i in range(90)] + [(900, None, "a", 1.0), (901, "", "b", 1.0)]
